@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
-from cairn.llm import byte_bpe, exact_dedup, secrets, simhash, warc
+from cairn.llm import byte_bpe, decontaminate, exact_dedup, secrets, simhash, warc
 
-MODULES = (warc, secrets, simhash, byte_bpe, exact_dedup)
+MODULES = (warc, secrets, simhash, byte_bpe, decontaminate, exact_dedup)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
