@@ -3,7 +3,8 @@
 Features of a text: densities of an insult lexicon (as written, and behind
 obfuscation), insults close to the second person, capitals, punctuation, and
 rates of obfuscated and stretched words. The lexicon is a short fixed list and
-words learned by their log-odds. Trees and calibration are fitted by Spark.
+words learned by the lower bound of their log-odds; a listed
+word that the labels speak against is left out. Trees and calibration are fitted by Spark.
 
 Learning uses only labelled rows whose crc32 of doc_id is not 2 modulo 4, split
 by a hash of doc_id into three parts: one for the lexicon (a sample of at most
@@ -37,12 +38,12 @@ from cairn.llm.common import as_bytes, cut, is_training_row, session_of, slices
 LEXICON_ROWS, LEXICON_TEXT_BYTES, FIT_ROWS = 6000, 100_000, 20_000
 TREES, DEPTH, RATE = 20, 4, 0.2
 THRESHOLD = 0.3
-LEARNED_LEAST, LEARNED_ODDS, LEARNED_WORDS = 8, 1.5, 300
+LEARNED_LEAST, LEARNED_ODDS, LEARNED_WORDS = 8, 0.5, 300
 NEAR_WORDS = 4
 #: Common insults and second-person words.
 INSULTS = (
     "idiot idiots moron morons stupid dumb loser losers pathetic scum trash garbage worthless clown disgusting "
-    "hate fool fools jerk creep ugly liar shut kill die imbecile coward filth vermin degenerate"
+    "fool fools jerk creep liar imbecile coward filth vermin degenerate"
 ).split()
 SECOND_PERSON = "you your yours yourself youre u ur du dich dir dein deine euch ihr tu te toi ton vous votre usted ustedes tus ti".split()
 _LEET = str.maketrans("01345@$!7", "oieasasit")
@@ -129,12 +130,13 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> dict[str, float]:
     for text, label in zip(texts, toxic, strict=True):
         (yes if label else no).update({low for w in text.split() if (low := _EDGE.sub("", w).lower()) and low.isalpha()})
     n_yes, n_no = sum(map(bool, toxic)), len(toxic) - sum(map(bool, toxic))
-    odds = {
-        w: o for w, k in yes.items()
-        if k >= LEARNED_LEAST and (o := math.log((k + 0.5) / (n_yes + 1)) - math.log((no[w] + 0.5) / (n_no + 1))) >= LEARNED_ODDS
-    }
-    best = dict(sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEARNED_WORDS])
-    return {w: 1.0 for w in INSULTS if not n_yes or w not in no or yes[w] > 0} | best
+    odds = {}
+    for w in {*yes, *no}:
+        if yes[w] + no[w] >= LEARNED_LEAST:
+            k, m = yes[w] + 0.5, no[w] + 0.5
+            odds[w] = math.log(k / (n_yes + 1)) - math.log(m / (n_no + 1)) - 1.96 * math.sqrt(1 / k + 1 / m)
+    best = dict(sorted(((w, o) for w, o in odds.items() if o >= LEARNED_ODDS), key=lambda x: (-x[1], x[0]))[:LEARNED_WORDS])
+    return {w: 1.0 for w in INSULTS if odds.get(w, LEARNED_ODDS) >= LEARNED_ODDS} | best
 
 
 def features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
