@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
-from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, secrets, simhash, token_counts, toxicity, warc
+from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, secrets, simhash, suffix_dedup, token_counts, toxicity, warc
 
-MODULES = (warc, token_counts, language_id, toxicity, secrets, simhash, byte_bpe, decontaminate, exact_dedup)
+MODULES = (suffix_dedup, warc, token_counts, language_id, toxicity, secrets, simhash, byte_bpe, decontaminate, exact_dedup)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
