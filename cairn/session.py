@@ -42,3 +42,12 @@ def load_tables(spark: SparkSession, sf_dir: str, register: bool = False) -> dic
         for name, df in found.items():
             df.createOrReplaceTempView(name)
     return found
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cairn-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
