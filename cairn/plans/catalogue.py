@@ -1,4 +1,6 @@
 """The registered queries of the engine and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from cairn.plans import analytics, changes, reads, retrieval, values  # noqa: F401
+from cairn.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
