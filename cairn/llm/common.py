@@ -66,3 +66,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             held += n
         if begin < len(lengths):
             yield batch.slice(begin)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose doc_id, null included, is not among those of ``gone``, with all their columns."""
+    name, taken = "gone", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    ids = gone.select(F.col("doc_id").cast("long").alias(name)).distinct()
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[name]), "left_anti")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, session_of, slices
+from cairn.llm.common import as_bytes, session_of, slices, without
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bytes of content that a table may hold before it is split.
@@ -201,8 +201,7 @@ def exact_dedup(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
 
 def keep_one(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
     """The documents that stay, with all their columns."""
-    gone = exact_dedup(docs, budget).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    return without(docs, exact_dedup(docs, budget).where("not kept"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, session_of, slices
+from cairn.llm.common import as_bytes, cut, session_of, slices, without
 from cairn.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -211,8 +211,7 @@ def simhash_dedup(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int =
 
 def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """The documents that stay, one (the smallest doc_id) of each component, with all their columns."""
-    gone = simhash_dedup(docs, width, most_bits).where("not doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    return without(docs, simhash_dedup(docs, width, most_bits).where("not doc_id <=> component_id"))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
