@@ -25,7 +25,7 @@ def _dataset(path: str):
     from pyarrow import dataset, fs
 
     store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-    return dataset.dataset(inner, filesystem=store, format="parquet", partitioning=dataset.partitioning(pa.schema([("_shard", pa.int32())]), flavor="hive"))
+    return dataset.dataset(inner, filesystem=store, format="parquet", ignore_prefixes=[".", "_SUCCESS", "_temporary"], partitioning=dataset.partitioning(pa.schema([("_shard", pa.int32())]), flavor="hive"))
 
 
 def _latest(path: str) -> dict[str, int]:
@@ -110,4 +110,4 @@ def subscribe(spark: SparkSession, path: str, offsets: dict[int, int] | None = N
     reader = (spark.readStream if streaming else spark.read).format(NAME).option("path", path)
     if offsets:
         reader = reader.option("startingOffsets", json.dumps({str(k): v for k, v in offsets.items()}))
-    return reader.load(path)
+    return reader.load()

@@ -51,15 +51,15 @@ def route(batch: DataFrame, targets: dict[str, KeyedTable], column: str = "table
     ``drop``; ``unknown``: the same for names without a target.
     """
     if unknown == "error":
-        known = F.col(column).isin(list(targets))
-        batch = batch.where(F.when(F.coalesce(known, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no table "), F.coalesce(F.col(column), F.lit("null")))).cast("boolean")))
+        lost = batch.where(~F.coalesce(F.col(column).isin(list(targets)), F.lit(False))).select(column).limit(1).collect()
+        if lost:
+            raise ValueError(f"no table {lost[0][0]}")
     out = {}
     for name, table in targets.items():
         rows, columns = batch.where(F.col(column) == name), table.read().columns
         extra = [c for c in rows.columns if c not in {*columns, column, "_seq", "_op", "_set"}]
-        if extra and extra_columns == "error":
-            filled = F.coalesce(*[F.col(c).cast("string") for c in extra]) if len(extra) > 1 else F.col(extra[0]).cast("string")
-            rows = rows.where(F.when(filled.isNull(), F.lit(True)).otherwise(F.raise_error(F.lit(f"table {name} lacks one of {extra}")).cast("boolean")))
+        if extra and extra_columns == "error" and rows.where(F.greatest(*[F.col(c).isNotNull() for c in extra], F.lit(False))).limit(1).collect():
+            raise ValueError(f"table {name} lacks one of {extra}")
         out[name] = rows.select([c for c in rows.columns if c in columns or c in ("_seq", "_op", "_set")])
     return out
 
