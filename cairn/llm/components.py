@@ -1,7 +1,9 @@
 """Connected components over an edge table by alternating large and small stars.
 
 Both steps are aggregations with partial sums and joins on the vertex, so no
-neighbourhood is ever gathered in one task; each round is checkpointed.
+neighbourhood is ever gathered in one task; each round is checkpointed. The
+aggregated side of a join is rebalanced first: then both sides are dealt out for
+the join alone, and the skew-join rule may split a node with very many edges.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is linked to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).hint("rebalance")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).hint("rebalance")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

@@ -198,7 +198,7 @@ def near_components(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     )
     roots = components(links)
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).hint("rebalance")
     return rooted.join(least, "root").select("fp", "component_id")
 
 
