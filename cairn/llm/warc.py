@@ -54,6 +54,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     first = (
         own.where(F.octet_length("payload") >= least_bytes)
         .groupBy("same").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+        .hint("rebalance")  # so that the join's exchanges are its own and a hot payload can be split
     )
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return own.join(first, "same", "left").select(
