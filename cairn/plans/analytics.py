@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cairn.operators import bitmap
+from cairn.operators import bitmap, metrics
 from cairn.plans.registry import query
 from cairn.session import load_tables, table
 from cairn.streaming import windows
@@ -32,6 +32,12 @@ def uv_tumbling(spark, d):
     return windows.window_uv(table(spark, d, "events"), "ts", "user_id", ["event_type"], 3600)
 
 
+@query("SELECT event_type, count(value) AS count, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.99), 6) AS p99, round(quantile_cont(value, 0.999), 6) AS p999 FROM events GROUP BY event_type")
+def latency_metrics(spark, d):
+    found = metrics.latency(table(spark, d, "events"), "value", ["event_type"], exact=True)
+    return found.select("event_type", "count", *[F.round(c, 6).alias(c) for c in ("mean", "p99", "p999")])
+
+
 _Q1 = """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CAST(round(l_quantity) AS BIGINT)) AS quantity, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS price
 FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY l_returnflag, l_linestatus"""
 _Q3 = """SELECT n_name, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS price FROM customer JOIN orders ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey

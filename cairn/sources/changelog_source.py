@@ -55,11 +55,11 @@ def _read(path: str, part: _Shard, names: list[str]) -> Iterator[pa.RecordBatch]
 
 
 class _Batch(DataSourceReader):
-    def __init__(self, path: str, names: list[str]) -> None:
-        self.path, self.names = path, names
+    def __init__(self, path: str, names: list[str], start: dict[str, int]) -> None:
+        self.path, self.names, self.start = path, names, start
 
     def partitions(self) -> list[_Shard]:
-        return [_Shard(int(s), -1, lsn) for s, lsn in sorted(_latest(self.path).items())]
+        return [_Shard(int(s), self.start.get(s, -1), lsn) for s, lsn in sorted(_latest(self.path).items())]
 
     def read(self, partition: _Shard) -> Iterator[pa.RecordBatch]:
         return _read(self.path, partition, self.names)
@@ -97,11 +97,15 @@ class ChangelogSource(DataSource):
 
         return from_arrow_schema(_dataset(self.options["path"]).schema)
 
+    def _start(self) -> dict[str, int]:
+        # option names are not case-sensitive
+        return json.loads({k.lower(): v for k, v in self.options.items()}.get("startingoffsets", "{}"))
+
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Batch(self.options["path"], schema.names)
+        return _Batch(self.options["path"], schema.names, self._start())
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
-        return _Stream(self.options["path"], schema.names, json.loads(self.options.get("startingOffsets", "{}")))
+        return _Stream(self.options["path"], schema.names, self._start())
 
 
 def subscribe(spark: SparkSession, path: str, offsets: dict[int, int] | None = None, streaming: bool = True) -> DataFrame:
