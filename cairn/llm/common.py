@@ -10,14 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch: whole texts can be long, so batches are kept small.
-ARROW_ROWS = 1000
+#: Bytes of an Arrow batch: whole texts can be long, so batches are bounded by size.
+ARROW_BYTES = 16 << 20
 
 
 def session_of(df: DataFrame) -> SparkSession:
     """The session of a frame, with Arrow batches sized for whole texts."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -189,7 +189,7 @@ def near_components(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """(doc_id, fp) rows to (fp, component_id), one per distinct fingerprint."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError("the anchors cover links of at most 3 differing bits")
-    session_of(prints).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    session_of(prints)
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = (
         distinct.select("fp").mapInArrow(_replicate, "anchor long, fp long")

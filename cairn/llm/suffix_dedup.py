@@ -358,7 +358,7 @@ def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, gram: int
     spark = session_of(docs)
     places = _store(_positions(docs, length, gram), folder, "places")
     at = F.xxhash64("tid", "place")
-    repeated = places.groupBy("gram").agg(F.min(at).alias("a"), F.max(at).alias("z")).where("a <> z").select("gram")
+    repeated = places.groupBy("gram").agg(F.min(at).alias("a"), F.max(at).alias("z")).where("a <> z").select("gram").hint("rebalance")
     wanted = places.join(repeated, "gram", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("gram", "place", "first", "last")).alias("places"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = _texts(docs).join(wanted, "tid").select("tid", "packed", "places").mapInArrow(_write_runs(length, buckets), "bucket long, run binary")
@@ -373,17 +373,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     folder = f"{shared_dir(spark)}/suffixes-{uuid.uuid4().hex}"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = _store(_facts(docs), folder, "facts")
-    copied = facts.where(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid", F.lit(True).alias("copied"))
+    copied = facts.where(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid")
     spans = _store(repeated_spans(docs, folder, length, gram), folder, "spans")
-    by_text = spans.groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    by_text = spans.join(copied, "tid", "left_anti").groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     partly = _texts(docs).join(by_text, "tid").select("tid", "packed", "spans").mapInArrow(_remove(with_text), "tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    joined = facts.join(copied, "tid", "left").join(partly, "tid", "left")
-    whole, some = F.coalesce("copied", F.lit(False)), F.col("n_removed").isNotNull()
-    pick = lambda all_, part, none: F.when(whole, all_).when(some, part).otherwise(none)
-    out = joined.select(
-        "doc_id", "n_bytes", pick(F.col("n_bytes"), F.col("n_removed"), F.lit(0)).cast("long").alias("n_removed"),
-        pick(F.lit(1), F.col("n_spans"), F.lit(0)).cast("long").alias("n_spans"), pick(F.lit(_EMPTY), F.col("kept_sha256"), F.col("sha256")).alias("kept_sha256"),
-        *([pick(F.lit("").cast("binary"), F.col("kept"), F.lit(None)).alias("kept"), "tid"] if with_text else []))
+    wholly = copied.select("tid", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(_EMPTY).alias("kept_sha256"), F.lit("").cast("binary").alias("kept"))
+    changed = partly.unionByName(wholly).hint("rebalance")  # one row a text, so that a hot text can be split in the join
+    out = facts.join(changed, "tid", "left").select(
+        "doc_id", "n_bytes", F.when(F.col("n_spans").isNull(), 0).otherwise(F.coalesce("n_removed", "n_bytes")).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), *(["kept", "tid"] if with_text else []))
     if not with_text:
         return out
     untouched = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("raw")).withColumn("tid", F.unhex(F.substring(F.sha2("raw", 256), 1, 32))).dropDuplicates(["tid"])

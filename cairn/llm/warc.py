@@ -232,7 +232,7 @@ def read_archives(spark: SparkSession, folder: str, strict: bool = False, payloa
     kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
                        ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("error", pa.string())])
     files = spark.read.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    session_of(files).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    session_of(files)
     return files.select("path", "content").mapInArrow(read, _SCHEMA)
 
 
