@@ -21,6 +21,11 @@ bytes to sort.
    the positions, give for each offset the classes of equal windows; a window in a
    class of two or more is repeated. Content is compared, not hashes.
 
+A passage in so many texts that more than ``hot_places`` positions share its first
+128 bytes would make one bucket long. The windows of those positions are counted by
+digest instead, which aggregates partially and splits in the join; a window's
+position follows from its content, so every window is judged by exactly one way.
+
 Texts that are exact copies are one text to steps 2 to 4, and wholly removed if
 they are long enough. Strings are judged on the input.
 
@@ -46,6 +51,8 @@ from cairn.llm.common import as_bytes, session_of, shared_dir, slices
 
 LENGTH = 400
 GRAM = 128
+#: Places that share a first gram and are still sorted together.
+HOT_PLACES = 200_000
 _SLICE, _PIECE = 1 << 20, 1 << 20
 _RUN_BYTES, _ANALYSE_ROWS = 48 << 20, 20_000
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -353,19 +360,44 @@ def _remove(with_text: bool):
     return remove
 
 
-def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _windows(length: int):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Digest of every window of the given positions."""
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for tid, packed, (_, _, first, last) in zip(batch.column("tid").to_pylist(), batch.column("packed").to_pylist(), _listed(batch.column("places")), strict=True):
+                text = unpack.decompress(packed)
+                for p, q in zip(first.tolist(), last.tolist(), strict=True):
+                    found = [hashlib.sha256(text[w : w + length]).digest()[:16] for w in range(p, q + 1)]
+                    yield pa.RecordBatch.from_arrays([pa.array([tid] * len(found), pa.binary()), pa.array(np.arange(p, q + 1)), pa.array(found, pa.binary())], names=["tid", "begin", "digest"])
+
+    return windows
+
+
+def _by_text(places: DataFrame, grams: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts with the list of their places that have one of the grams."""
+    wanted = places.join(grams.select("gram"), "gram", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("gram", "place", "first", "last")).alias("places"))
+    return _texts(docs).join(wanted, "tid").select("tid", "packed", "places")
+
+
+def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, gram: int = GRAM, hot_places: int = HOT_PLACES) -> DataFrame:
     """(tid, begin, end) spans of distinct texts that are covered by repeated windows; they may overlap."""
     spark = session_of(docs)
     places = _store(_positions(docs, length, gram), folder, "places")
     at = F.xxhash64("tid", "place")
-    repeated = places.groupBy("gram").agg(F.min(at).alias("a"), F.max(at).alias("z")).where("a <> z").select("gram").hint("rebalance")
-    wanted = places.join(repeated, "gram", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("gram", "place", "first", "last")).alias("places"))
+    grams = _store(places.groupBy("gram").agg(F.min(at).alias("a"), F.max(at).alias("z"), F.count("*").alias("n")).where("a <> z").select("gram", "n"), folder, "grams")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = _texts(docs).join(wanted, "tid").select("tid", "packed", "places").mapInArrow(_write_runs(length, buckets), "bucket long, run binary")
-    return runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), "tid binary, begin long, end long")
+    runs = _by_text(places, grams.where(F.col("n") <= hot_places), docs).mapInArrow(_write_runs(length, buckets), "bucket long, run binary")
+    spans = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), "tid binary, begin long, end long")
+    hot = grams.where(F.col("n") > hot_places)
+    if hot.isEmpty():
+        return spans
+    windows = _store(_by_text(places, hot, docs).mapInArrow(_windows(length), "tid binary, begin long, digest binary"), folder, "windows")
+    again = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").hint("rebalance")
+    return spans.unionByName(windows.join(again, "digest", "left_semi").select("tid", "begin", (F.col("begin") + length).alias("end")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True, hot_places: int = HOT_PLACES) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if ``with_text``."""
     if not 8 <= gram < length < 1 << 16:
         raise ValueError("8 <= gram < length < 65536")
@@ -374,7 +406,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = _store(_facts(docs), folder, "facts")
     copied = facts.where(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid")
-    spans = _store(repeated_spans(docs, folder, length, gram), folder, "spans")
+    spans = _store(repeated_spans(docs, folder, length, gram, hot_places), folder, "spans")
     by_text = spans.join(copied, "tid", "left_anti").groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     partly = _texts(docs).join(by_text, "tid").select("tid", "packed", "spans").mapInArrow(_remove(with_text), "tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary")
     wholly = copied.select("tid", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(_EMPTY).alias("kept_sha256"), F.lit("").cast("binary").alias("kept"))

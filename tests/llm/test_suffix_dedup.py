@@ -46,6 +46,12 @@ def test_against_brute_force(docs, seed):
     assert order(map(tuple, x.remove_repeats(docs(rows), length=40, gram=12).collect())) == order(brute(rows, 40))
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_hot_passages_give_the_same(docs, hot):
+    rows = random_rows(4, 50)
+    assert order(map(tuple, x.remove_repeats(docs(rows), length=40, gram=12, hot_places=hot).collect())) == order(brute(rows, 40))
+
+
 def test_hard_cases(docs):
     line = "the same long line over and over "
     rows = [(1, None), (2, ""), (3, "short"), (4, "a" * 500), (5, line * 60), (6, "abc" * 10 + line * 3 + "z" * 50), (7, "x" * 39), (7, "x" * 39),
