@@ -11,7 +11,9 @@ bucket is capped.
 
 Copies share a fingerprint and are merged before replication, so hot groups of
 copies cost one row. At an anchor links are folded at once into stars, so what
-leaves a task grows with the fingerprints and not with their pairs.
+leaves a task grows with the fingerprints and not with their pairs. An anchor with
+more than ``ANCHOR_ROWS`` different fingerprints is cut into blocks, and each pair
+of blocks is compared in a group of its own, so no task gets it whole.
 
 Defined results: a null or word-less text has fingerprint zero and is linked
 like any other; repeated rows get the same row each; a null doc_id never names a
@@ -34,6 +36,8 @@ from cairn.llm.components import components
 SHINGLE_WORDS = 3
 MOST_BITS = 3
 SEED = 42
+#: Rows of an anchor that are compared in one group; a larger one is cut into pairs of blocks.
+ANCHOR_ROWS = 1 << 15
 _PIECE = 1 << 20
 _WHITE = b" \t\n\x0b\x0c\r"
 
@@ -142,7 +146,7 @@ def _fold(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = further
 
 
-def _stars(anchor: np.ndarray, fps: np.ndarray, most_bits: int) -> pa.RecordBatch:
+def _stars(anchor: np.ndarray, fps: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among fingerprints of the same anchor, as stars around one of each component."""
     label = np.arange(len(fps))
     bits = fps.view(np.uint64)
@@ -163,39 +167,64 @@ def _stars(anchor: np.ndarray, fps: np.ndarray, most_bits: int) -> pa.RecordBatc
     if held:
         _fold(label, *map(np.concatenate, zip(*held, strict=True)))
     leaves = np.nonzero(label != np.arange(len(fps)))[0]
-    return pa.RecordBatch.from_arrays([pa.array(fps[leaves]), pa.array(fps[label[leaves]])], names=["u", "v"])
+    return fps[leaves], fps[label[leaves]]
 
 
-def _compare(most_bits: int):
+def _compare(most_bits: int, limit: int | None):
+    """Links of rows that come sorted by anchor, as (u, v); with a limit the rows of a larger group are
+    passed on as (anchor, fp) under ``later`` instead of being compared."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by anchor; the rows of the last one are held until it is complete."""
-        anchor, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        def out(u: np.ndarray, v: np.ndarray, later: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), later)), pa.array(u), pa.array(v)], names=["later", "u", "v"])
+
+        step = min(1 << 15, limit or 1 << 15)
+        anchor, fps, hot = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         for batch in batches:
             anchor = np.concatenate([anchor, batch.column("anchor").to_numpy()])
             fps = np.concatenate([fps, batch.column("fp").to_numpy()])
-            if len(fps) < 1 << 16:
+            if hot is not None:
+                end = int(np.searchsorted(anchor, hot, "right"))
+                yield out(anchor[:end], fps[:end], True)
+                anchor, fps = anchor[end:], fps[end:]
+            if len(fps) < step:
                 continue
             whole = int(np.searchsorted(anchor, anchor[-1]))
             if whole:
-                yield _stars(anchor[:whole], fps[:whole], most_bits)
+                yield out(*_stars(anchor[:whole], fps[:whole], most_bits), False)
                 anchor, fps = anchor[whole:], fps[whole:]
+            if limit and len(fps) > limit:
+                hot = int(anchor[0])
+                yield out(anchor, fps, True)
+                anchor, fps = anchor[:0], fps[:0]
         if len(fps):
-            yield _stars(anchor, fps, most_bits)
+            yield out(*_stars(anchor, fps, most_bits), False)
 
     return compare
 
 
-def near_components(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def _links(rows: DataFrame, most_bits: int, limit: int | None) -> DataFrame:
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(most_bits, limit), "later boolean, u long, v long")
+
+
+def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """Groups cut into blocks of about half the limit; each pair of blocks is a group of its own."""
+    counts = rows.groupBy("anchor").agg(F.ceil(F.count("*") * 2 / limit).alias("blocks")).hint("rebalance")
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    dealt = rows.join(counts, "anchor").select("anchor", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    return dealt.select(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other")).alias("anchor"), "fp")
+
+
+def near_components(prints: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS) -> DataFrame:
     """(doc_id, fp) rows to (fp, component_id), one per distinct fingerprint."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError("the anchors cover links of at most 3 differing bits")
     session_of(prints)
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = (
-        distinct.select("fp").mapInArrow(_replicate, "anchor long, fp long")
-        .repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(_compare(most_bits), "u long, v long")
-    )
+    found = cut(_links(distinct.select("fp").mapInArrow(_replicate, "anchor long, fp long"), most_bits, limit))
+    links, later = found.where("NOT later").select("u", "v"), found.where("later").select(F.col("u").alias("anchor"), F.col("v").alias("fp"))
+    if not later.isEmpty():
+        links = links.unionByName(_links(_in_blocks(later, limit), most_bits, None).select("u", "v"))
     roots = components(links)
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).hint("rebalance")

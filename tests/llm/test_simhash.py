@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from cairn.llm import simhash as x
@@ -69,6 +70,23 @@ def test_components_against_brute_force(spark):
     assert found == {signed(v): least[roots[v]] for v in fps}
 
 
+def test_dense_cluster_is_cut_into_blocks(spark):
+    rng = random.Random(5)
+    fps = {rng.getrandbits(63)}
+    for _ in range(250):
+        fps.add(rng.choice(sorted(fps)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)))
+    fps |= {rng.getrandbits(63) for _ in range(30)}
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(sorted(fps))], "doc_id long, fp long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert not x._links(df.select("fp").mapInArrow(x._replicate, "anchor long, fp long"), 3, 6).where("later").isEmpty()
+        found = {r["fp"]: r["component_id"] for r in x.near_components(df, limit=6).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ids, roots = {f: i for i, f in enumerate(sorted(fps))}, brute_components(sorted(fps))
+    assert found == {f: ids[roots[f]] for f in fps}
+
+
 def test_dedup_cases(docs, prose):
     base = prose(3, 300)
     rows = [(5, base), (3, base.upper()), (9, base + " "), (4, None), (8, "   "), (7, "other words here"), (7, "other words here"), (None, base)]
