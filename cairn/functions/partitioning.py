@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Date patterns of a unit's suffix, plain and dashed; months of a unit.
+#: Date patterns of a unit's suffix, plain and dashed; a quarter's number is appended.
 PATTERNS = {
     "HOUR": ("yyyyMMddHH", "yyyy-MM-dd-HH"), "DAY": ("yyyyMMdd", "yyyy-MM-dd"), "MONTH": ("yyyyMM", "yyyy-MM"),
-    "QUARTER": ("yyyyq", "yyyy-q"), "YEAR": ("yyyy", "yyyy"),
+    "QUARTER": ("yyyy", "yyyy"), "YEAR": ("yyyy", "yyyy"),
 }
 _LEGAL = {
     "HOUR": (r"\d{10}", r"\d{4}-\d{2}-\d{2}-\d{2}"), "DAY": (r"\d{8}", r"\d{4}-\d{2}-\d{2}"), "MONTH": (r"\d{6}", r"\d{4}-\d{2}"),
@@ -29,7 +29,7 @@ def suffix(ts: Column, unit: str, dashed: bool = False, zone: str | None = None)
     unit = _unit(unit)
     local = F.from_utc_timestamp(ts, zone) if zone else ts
     if unit == "QUARTER":
-        return F.concat(F.date_format(local, "yyyy"), F.lit("-" if dashed else ""), F.quarter(local).cast("string"))
+        return F.concat(F.date_format(local, PATTERNS[unit][dashed]), F.lit("-" if dashed else ""), F.quarter(local).cast("string"))
     return F.date_format(local, PATTERNS[unit][dashed])
 
 

@@ -18,9 +18,8 @@ def latency(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = Fal
 
 def rate(df: DataFrame, ts: str, minutes: Sequence[int] = (1, 5, 15), now: Column | None = None) -> DataFrame:
     """Rows a second over the last 1, 5 and 15 minutes before ``now`` (default: the latest row)."""
-    end = now if now is not None else None
     stamped = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
-    last = stamped.agg(F.max("t").alias("end")) if end is None else df.sparkSession.range(1).select(F.unix_micros(end).alias("end"))
+    last = stamped.agg(F.max("t").alias("end")) if now is None else df.sparkSession.range(1).select(F.unix_micros(now).alias("end"))
     within = stamped.join(F.broadcast(last), F.lit(True))  # one row
     return within.agg(*[(F.count_if(F.col("t") > F.col("end") - m * 60_000_000) / (m * 60)).alias(f"qps{m}") for m in minutes])
 

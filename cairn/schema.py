@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -128,8 +127,3 @@ def widen(df: DataFrame, target: T.StructType, strict: bool = False) -> DataFram
             raise TypeError(f"column {f.name}: {source} cannot be written as {wanted}")
         out.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
     return df.select(out)
-
-
-def rename_reserved(names: Iterable[str]) -> list[str]:
-    """Names quoted for use in SQL text."""
-    return ["`" + n.replace("`", "``") + "`" for n in names]
