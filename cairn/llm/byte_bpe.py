@@ -105,6 +105,10 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [raw.decode("utf-8", "replace") for raw in as_bytes(batch.column("text"))]
 
 
+def _keyed(rows: DataFrame, column: str) -> DataFrame:
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), column)
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, ids, and for each id its first byte and first character in the text."""
     session_of(docs)
@@ -119,7 +123,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 pa.array([s[0] for s in starts], pa.list_(pa.int64())), pa.array([s[1] for s in starts], pa.list_(pa.int64())),
             ], names=["doc_id", "ids", "byte_starts", "char_starts"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, ids array<int>, byte_starts array<long>, char_starts array<long>")
+    return _keyed(docs, "text").mapInArrow(work, "doc_id long, ids array<int>, byte_starts array<long>, char_starts array<long>")
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -132,7 +136,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             raw = [tool.decode(np.array(x if x is not None else [], "<u4").tobytes()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r.decode("utf-8", "replace") for r in raw], pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(work, "doc_id long, text string")
+    return _keyed(encoded, "ids").mapInArrow(work, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -148,11 +152,11 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(tool.decode(x)).hexdigest() for x in ids]),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _keyed(docs, "text").mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op8_byte_bpe": op8_byte_bpe}

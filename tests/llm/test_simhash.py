@@ -3,7 +3,6 @@ import random
 import re
 
 import numpy as np
-import pytest
 import xxhash
 
 from cairn.llm import simhash as x
