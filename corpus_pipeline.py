@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, simhash
 from cairn.llm.common import shared_dir
@@ -35,7 +34,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return byte_bpe.round_trip(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return byte_bpe.round_trip(docs)
 
 
 STAGES = [
