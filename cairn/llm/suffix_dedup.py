@@ -22,9 +22,11 @@ bytes to sort.
    class of two or more is repeated. Content is compared, not hashes.
 
 A passage in so many texts that more than ``hot_places`` positions share its first
-128 bytes would make one bucket long. The windows of those positions are counted by
-digest instead, which aggregates partially and splits in the join; a window's
-position follows from its content, so every window is judged by exactly one way.
+128 bytes would make one bucket long. There the stretches that all windows of a
+position cover are counted by digest instead: a stretch met twice is repeated as a
+whole, and only distinct ones are cut into windows, counted by digest in turn. Both
+counts aggregate partially and split in the join; a window's position follows from
+its content, so every window is judged by exactly one way.
 
 Texts that are exact copies are one text to steps 2 to 4, and wholly removed if
 they are long enough. Strings are judged on the input.
@@ -360,16 +362,47 @@ def _remove(with_text: bool):
     return remove
 
 
-def _windows(length: int):
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Digest of every window of the given positions."""
+def _stretches(length: int):
+    kinds = pa.schema([("tid", pa.binary()), ("digest", pa.binary()), ("content", pa.binary()), ("size", pa.int64()), ("begins", pa.list_(pa.int64()))])
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes that all windows of a position cover, each distinct one of a text once with its places."""
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for tid, packed, (_, _, first, last) in zip(batch.column("tid").to_pylist(), batch.column("packed").to_pylist(), _listed(batch.column("places")), strict=True):
-                text = unpack.decompress(packed)
+                text, found = unpack.decompress(packed), {}
                 for p, q in zip(first.tolist(), last.tolist(), strict=True):
-                    found = [hashlib.sha256(text[w : w + length]).digest()[:16] for w in range(p, q + 1)]
-                    yield pa.RecordBatch.from_arrays([pa.array([tid] * len(found), pa.binary()), pa.array(np.arange(p, q + 1)), pa.array(found, pa.binary())], names=["tid", "begin", "digest"])
+                    found.setdefault(text[p : q + length], []).append(p)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([tid] * len(found), pa.binary()), pa.array([_text_id(c) for c in found], pa.binary()), pa.array(list(found), pa.binary()),
+                    pa.array([len(c) for c in found], pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))], schema=kinds)
+
+    return stretches
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of repeated stretches, those of a row that overlap joined."""
+    for batch in batches:
+        tids, begins, ends = [], [], []
+        for tid, size, places in zip(batch.column("tid").to_pylist(), batch.column("size").to_pylist(), batch.column("begins").to_pylist(), strict=True):
+            at = np.sort(np.array(places, np.int64))
+            opens = np.concatenate([[True], at[1:] > at[:-1] + size])
+            begins.append(at[opens])
+            ends.append(at[np.append(opens[1:], True)] + size)
+            tids += [tid] * int(opens.sum())
+        if tids:
+            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), pa.array(np.concatenate(begins)), pa.array(np.concatenate(ends))], names=["tid", "begin", "end"])
+
+
+def _windows(length: int):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Digest of every window of the given stretches."""
+        for batch in batches:
+            for tid, begin, content, single in zip(*(batch.column(c).to_pylist() for c in ("tid", "begin", "content", "single")), strict=True):
+                found = [_text_id(content[w : w + length]) for w in range(len(content) - length + 1)]
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([tid] * n, pa.binary()), pa.array(np.arange(begin, begin + n)), pa.array(found, pa.binary()), pa.array([single] * n, pa.bool_())], names=["tid", "begin", "digest", "single"])
 
     return windows
 
@@ -392,9 +425,16 @@ def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, gram: int
     hot = grams.where(F.col("n") > hot_places)
     if hot.isEmpty():
         return spans
-    windows = _store(_by_text(places, hot, docs).mapInArrow(_windows(length), "tid binary, begin long, digest binary"), folder, "windows")
+    stretches = _store(_by_text(places, hot, docs).mapInArrow(_stretches(length), "tid binary, digest binary, content binary, size long, begins array<long>"), folder, "stretches")
+    kinds = stretches.groupBy("digest").agg(
+        F.sum(F.size("begins")).alias("n"), F.first("content").alias("content"), F.min(F.struct("tid", F.element_at("begins", 1).alias("begin"))).alias("at"))
+    kinds = _store(kinds.select("digest", "content", F.col("at.tid").alias("tid"), F.col("at.begin").alias("begin"), (F.col("n") == 1).alias("single")), folder, "kinds")
+    shared = kinds.where("NOT single").select("digest").hint("rebalance")
+    whole = stretches.join(shared, "digest", "left_semi").select("tid", "size", "begins").mapInArrow(_covered, "tid binary, begin long, end long")
+    windows = _store(kinds.select("tid", "begin", "content", "single").mapInArrow(_windows(length), "tid binary, begin long, digest binary, single boolean"), folder, "windows")
     again = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").hint("rebalance")
-    return spans.unionByName(windows.join(again, "digest", "left_semi").select("tid", "begin", (F.col("begin") + length).alias("end")))
+    partly = windows.where("single").join(again, "digest", "left_semi").select("tid", "begin", (F.col("begin") + length).alias("end"))
+    return spans.unionByName(whole).unionByName(partly)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True, hot_places: int = HOT_PLACES) -> DataFrame:
