@@ -52,11 +52,12 @@ def test_hot_passages_give_the_same(docs, hot):
     assert order(map(tuple, x.remove_repeats(docs(rows), length=40, gram=12, hot_places=hot).collect())) == order(brute(rows, 40))
 
 
-def test_hard_cases(docs):
+@pytest.mark.parametrize("hot", [0, x.HOT_PLACES])
+def test_hard_cases(docs, hot):
     line = "the same long line over and over "
     rows = [(1, None), (2, ""), (3, "short"), (4, "a" * 500), (5, line * 60), (6, "abc" * 10 + line * 3 + "z" * 50), (7, "x" * 39), (7, "x" * 39),
             (8, "copy me whole, all of these forty bytes and more"), (9, "copy me whole, all of these forty bytes and more"), (9, "copy me whole, all of these forty bytes and more"), (None, "é" * 30)]
-    assert order(map(tuple, x.remove_repeats(docs(rows), length=40, gram=12).collect())) == order(brute(rows, 40))
+    assert order(map(tuple, x.remove_repeats(docs(rows), length=40, gram=12, hot_places=hot).collect())) == order(brute(rows, 40))
 
 
 def test_very_long_text_in_pieces(monkeypatch, prose):
