@@ -75,3 +75,17 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
         name += "_"
     ids = gone.select(F.col("doc_id").cast("long").alias(name)).distinct()
     return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[name]), "left_anti")
+
+
+def row_key(text: Column) -> Column:
+    """SHA-256 of a text's bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key."""
+    id_name, key_name, taken = "gone_id", "gone_key", {c.lower() for c in docs.columns}
+    while {id_name, key_name} & taken:
+        id_name, key_name = id_name + "_", key_name + "_"
+    lost = gone.select(F.col("doc_id").alias(id_name), F.col("own").alias(key_name)).distinct()
+    return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(lost[id_name]) & (row_key(docs["text"]) == lost[key_name]), "left_anti")

@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, simhash
+from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, near_copies
 from cairn.llm.common import shared_dir
 
 
@@ -26,7 +26,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
