@@ -88,15 +88,27 @@ def nearest_for(queries: DataFrame, vectors: DataFrame, k: int, vector: str = "e
     return part.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_, "distance")
 
 
-def pack(docs: DataFrame, by: Sequence[str], rank: str, size: str, id_: str, budget: int, most: int = 1000) -> DataFrame:
+def pack(docs: DataFrame, by: Sequence[str], rank: str, size: str, id_: str, budget: int) -> DataFrame:
     """Greedy packing in rank order: a document that does not fit is skipped, later ones may fit.
 
-    Packs a ranked result list; ``most`` bounds its length for each group.
+    Groups can be of any length. The room left never grows, so once a document of some
+    size does not fit, none of that size or larger does later: of each size n only the
+    first budget / n documents of a group can be packed. The others are dropped in
+    salted parts first, and the fold gets some budget * ln(budget) rows of a group at
+    most, besides those of size zero, which are all part of the result. A null size
+    never fits; a negative one is an error.
     """
     from pyspark.sql import Window
 
-    ranked = docs.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(rank, id_))).where(F.col("_r") <= most)
-    listed = ranked.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col(size).cast("long").alias("n"), F.col(id_).alias("id")))).alias("_docs"))
+    n = F.col(size).cast("long")
+    n = F.when(n < 0, F.raise_error(F.lit("negative size")).cast("long")).otherwise(n)
+    able = docs.select(*by, n.alias("_n"), F.col(rank).alias("_rank"), F.col(id_).alias("_id")).where(F.col("_n") <= budget)
+    fits = (F.col("_n") == 0) | (F.col("_r") * F.col("_n") <= budget)
+    for salt in ([F.pmod(F.xxhash64("_id", "_rank"), F.lit(64))], []):
+        order = Window.partitionBy(*by, "_n", *salt).orderBy("_rank", "_id")
+        able = able.withColumn("_r", F.row_number().over(order)).where(fits).drop("_r")
+    rows = able.select(*by, F.struct("_rank", F.col("_id").alias("id"), F.col("_n").alias("n")).alias("_doc")).unionByName(docs.select(*by).distinct(), allowMissingColumns=True)
+    listed = rows.groupBy(*by).agg(F.array_sort(F.collect_list("_doc")).alias("_docs"))
     start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast(f"array<{docs.schema[id_].dataType.simpleString()}>").alias("ids"))
     step = lambda held, d: F.when(held["total"] + d["n"] <= budget, F.struct((held["total"] + d["n"]).alias("total"), F.concat(held["ids"], F.array(d["id"])).alias("ids"))).otherwise(held)
     packed = listed.withColumn("_p", F.aggregate("_docs", start, step))
