@@ -89,3 +89,12 @@ def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
         id_name, key_name = id_name + "_", key_name + "_"
     lost = gone.select(F.col("doc_id").alias(id_name), F.col("own").alias(key_name)).distinct()
     return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(lost[id_name]) & (row_key(docs["text"]) == lost[key_name]), "left_anti")
+
+
+def one_without_id(docs: DataFrame) -> DataFrame:
+    """The documents, with one row for each text among those whose doc_id is null."""
+    name, taken = "key", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn(name, row_key(F.col("text"))).dropDuplicates([name]).drop(name)
+    return docs.where(F.col("doc_id").isNotNull()).unionByName(nameless)

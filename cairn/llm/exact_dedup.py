@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, session_of, slices, without
+from cairn.llm.common import as_bytes, one_without_id, session_of, slices, without_rows
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bytes of content that a table may hold before it is split.
@@ -39,7 +39,8 @@ FANOUT = 16
 class OpenTable:
     """Open addressing with linear probing; a slot matches only if the whole content does.
 
-    An entry is [digest, content, most code points, doc_id, rows].
+    An entry is [digest, content, most code points, doc_id, rows] and, if given, the key of the text that
+    breaks ties of one doc_id.
     """
 
     def __init__(self) -> None:
@@ -61,7 +62,7 @@ class OpenTable:
             self.slots[self._find(entry[0], entry[1])] = entry
 
     def add(self, record: list) -> None:
-        digest, content, points, doc_id, rows = record
+        digest, content, points, doc_id, rows, *own = record
         at = self._find(digest, content)
         entry = self.slots[at]
         if entry is None:
@@ -72,8 +73,8 @@ class OpenTable:
                 self._grow()
             return
         entry[4] += rows
-        if points > entry[2] or points == entry[2] and doc_id is not None and (entry[3] is None or doc_id < entry[3]):
-            entry[2], entry[3] = points, doc_id
+        if (-points, doc_id is None, doc_id or 0, own) < (-entry[2], entry[3] is None, entry[3] or 0, entry[5:]):
+            entry[2], entry[3], entry[5:] = points, doc_id, own
 
     def __iter__(self) -> Iterator[list]:
         return (entry for entry in self.slots if entry is not None)
@@ -124,11 +125,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
     for batch in slices(batches, "text"):
         for doc_id, raw in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True):
             content = raw.translate(None, WHITE)
-            yield [hashlib.sha256(content).digest(), content, len(raw.decode("utf-8", "replace")), doc_id, 1]
+            yield [hashlib.sha256(content).digest(), content, len(raw.decode("utf-8", "replace")), doc_id, 1, hashlib.sha256(raw).digest()]
 
 
-_RECORD = "digest binary, content binary, points long, doc_id long, n long"
-_CLASS = "text_sha256 string, keep_id long, group_size long"
+_RECORD = "digest binary, content binary, points long, doc_id long, n long, own binary"
+_CLASS = "text_sha256 string, keep_id long, group_size long, keep_own binary"
 
 
 def _arrow(schema: pa.Schema, rows: Iterable[list], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -143,12 +144,12 @@ def _arrow(schema: pa.Schema, rows: Iterable[list], most: int = 4 << 20) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-_RECORD_PA = pa.schema([("digest", pa.binary()), ("content", pa.binary()), ("points", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
-_CLASS_PA = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
+_RECORD_PA = pa.schema([("digest", pa.binary()), ("content", pa.binary()), ("points", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("own", pa.binary())])
+_CLASS_PA = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_own", pa.binary())])
 
 
 def classes(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
-    """One row per class of equal texts: text_sha256, keep_id, group_size."""
+    """One row per class of equal texts: text_sha256, keep_id, group_size, keep_own (the key of the kept text)."""
     session_of(docs)
 
     def merge_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,22 +171,24 @@ def classes(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
 
         with tempfile.TemporaryDirectory(prefix="grace-") as folder:
             entries = grace(received(), budget, folder)
-            yield from _arrow(_CLASS_PA, ([e[0].hex(), e[3], e[4]] for e in entries))
+            yield from _arrow(_CLASS_PA, ([e[0].hex(), e[3], e[4], e[5]] for e in entries))
 
     local = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(merge_locally, _RECORD)
     return local.repartition("digest").mapInArrow(merge, _CLASS)
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and text_sha256 (of the text without ASCII white space) of each row."""
+    """doc_id, text_sha256 (of the text without ASCII white space) and own (the key of the text as it is) of each row."""
     session_of(docs)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [hashlib.sha256(raw.translate(None, WHITE)).hexdigest() for raw in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.string())], names=["doc_id", "text_sha256"])
+            raws = as_bytes(batch.column("text"))
+            found = [hashlib.sha256(raw.translate(None, WHITE)).hexdigest() for raw in raws]
+            own = [hashlib.sha256(raw).digest() for raw in raws]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.string()), pa.array(own, pa.binary())], names=["doc_id", "text_sha256", "own"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(digest, "doc_id long, text_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(digest, "doc_id long, text_sha256 string, own binary")
 
 
 def exact_dedup(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
@@ -200,8 +203,12 @@ def exact_dedup(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    return without(docs, exact_dedup(docs, budget).where("not kept"))
+    """The documents that stay, with all their columns: of each class the row with the most code points, then the
+    smallest (doc_id, key of the text). Rows repeated with one doc_id and text stay or go together; a null doc_id
+    names no document, so of its equal texts one row stays."""
+    repeated = classes(docs, budget).where("group_size > 1")
+    gone = digests(docs).join(repeated, "text_sha256").where("NOT (doc_id <=> keep_id AND own = keep_own)")
+    return without_rows(one_without_id(docs), gone)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

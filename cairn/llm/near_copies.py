@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, row_key, session_of, slices, without_rows
+from cairn.llm.common import as_bytes, cut, one_without_id, row_key, session_of, slices, without_rows
 from cairn.llm.components import components
 from cairn.llm.simhash import _fold, _shingle_hashes
 
@@ -213,4 +213,4 @@ def lost_rows(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SE
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, one row of each component of near copies, with all their columns."""
-    return without_rows(docs, lost_rows(docs))
+    return without_rows(one_without_id(docs), lost_rows(docs))
