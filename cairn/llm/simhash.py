@@ -48,7 +48,7 @@ def _word_runs(text: bytes, carry: int) -> Iterator[list[bytes]]:
         yield text.split()
         return
     kept: list[bytes] = []
-    begin = 0
+    begin, short = 0, True
     while begin < len(text):
         end = min(len(text), begin + _PIECE)
         while end < len(text) and text[end] not in _WHITE:
@@ -57,11 +57,11 @@ def _word_runs(text: bytes, carry: int) -> Iterator[list[bytes]]:
         begin = end
         if len(words) > carry:
             yield words
-            kept = words[-carry:] if carry else []
+            kept, short = words[-carry:] if carry else [], False
         else:
             kept = words
-            if begin >= len(text):
-                yield words
+    if short:
+        yield kept
 
 
 def _shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
