@@ -15,16 +15,16 @@ from cairn.streaming import sinks
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None) -> None:
         self.spark, self.folder, self.buckets = spark, folder, buckets
 
-    def _keyed(self, name: str, key: Sequence[str]) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.folder}/{name}", key, self.buckets)
+    def _keyed(self, name: str, key: Sequence[str], buckets: int | None = None) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.folder}/{name}", key, buckets)
 
     def create(self, table: TableDef, rows: DataFrame | None = None) -> None:
         if not table.primary_key:
             raise ValueError("a keyed table needs a primary key")
-        self._keyed(table.name, table.primary_key).create(self.spark.createDataFrame([], table.schema()) if rows is None else rows.select(*[c.name for c in table.columns]), table)
+        self._keyed(table.name, table.primary_key, self.buckets).create(self.spark.createDataFrame([], table.schema()) if rows is None else rows.select(*[c.name for c in table.columns]), table)
 
     def table(self, name: str) -> TableDef:
         return self._keyed(name, []).definition()

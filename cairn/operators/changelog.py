@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators import ranges
+
 #: Event type codes.
 DELETE, BEFORE_UPDATE, INSERT, AFTER_UPDATE, HEARTBEAT = 2, 3, 5, 7, 27
 NAMES = {DELETE: "DELETE", BEFORE_UPDATE: "BEFORE_UPDATE", INSERT: "INSERT", AFTER_UPDATE: "AFTER_UPDATE", -1: "HEARTBEAT", HEARTBEAT: "HEARTBEAT"}
@@ -37,7 +39,7 @@ def diff(old: DataFrame, new: DataFrame, key: Sequence[str], shard: Column, ts_u
         F.when(F.col("o_").isNull(), F.array(side("n", INSERT))).when(F.col("n_").isNull(), F.array(side("o", DELETE)))
         .when(differs, F.array(side("o", BEFORE_UPDATE), side("n", AFTER_UPDATE))).otherwise(F.array()))
     rows = both.select(F.explode(events).alias("e")).select("e.*").withColumn("_shard", shard).withColumn("_ts_us", ts_us)
-    return rows.withColumn("_lsn", F.row_number().over(Window.partitionBy("_shard").orderBy(*key, "_event_type")).cast("long")).select(*SYSTEM, *old.columns)
+    return ranges.numbered(rows, "_lsn", ["_shard"], [*key, "_event_type"]).select(*SYSTEM, *old.columns)
 
 
 def replay(base: DataFrame, log: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -91,12 +93,20 @@ def in_partitions(log: DataFrame, columns: Sequence[str], values: Sequence[Seque
 
 
 def open_partitions(log: DataFrame, partition_start: Column, partition_end: Column, lateness_seconds: int = 60) -> DataFrame:
-    """Dynamic subscription: drop records that arrive after their partition has been closed.
+    """Dynamic subscription: drop records that arrive after their partition has been closed for their shard.
 
-    A partition is closed once event time (the greatest time seen so far in the shard)
-    has passed its end by the lateness.
+    A shard closes a partition once its event time (the greatest time seen so far in it)
+    has passed the end by the lateness.
     """
-    seen = F.max("_ts_us").over(Window.partitionBy("_shard").orderBy("_lsn").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    late = seen >= F.unix_micros(partition_end.cast("timestamp")) + lateness_seconds * 1_000_000
+    seen = ranges.running_max(log, "__seen", F.col("_ts_us"), ["_shard"], ["_lsn"])
+    late = F.col("__seen") >= F.unix_micros(partition_end.cast("timestamp")) + lateness_seconds * 1_000_000
     early = F.col("_ts_us") < F.unix_micros(partition_start.cast("timestamp"))
-    return log.withColumn("_late", late | early).where("NOT _late").drop("_late")
+    return seen.withColumn("__late", late | early).where("NOT __late").drop("__late", "__seen")
+
+
+def closed_partitions(log: DataFrame, partition_end: Column, lateness_seconds: int = 60) -> DataFrame:
+    """(partition_end): the partitions that every shard of the log has closed, so that their subscription may end."""
+    shards = log.groupBy("_shard").agg(F.max("_ts_us").alias("seen"))
+    reached = shards.agg(F.min("seen").alias("reached"))  # one row
+    ends = log.select(partition_end.cast("timestamp").alias("partition_end")).distinct()
+    return ends.join(reached, F.col("reached") >= F.unix_micros("partition_end") + lateness_seconds * 1_000_000).select("partition_end")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators import ranges
+
 
 def lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], columns: Sequence[str] | None = None, how: str = "left") -> DataFrame:
     """Join each fact row with the dimension rows whose columns equal the fact's.
@@ -28,18 +30,8 @@ def missing_keys(facts: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFr
 
 
 def dense_ids(keys: DataFrame, order: Sequence[str], start: int | Column = 0, name: str = "id") -> DataFrame:
-    """Number rows 1, 2, ... after ``start`` in key order without sorting all rows in one task.
-
-    Rows are range-partitioned and numbered within each partition; the partitions'
-    counts, one row each, give every partition its offset.
-    """
-    parted = keys.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    counts = parted.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("_p", before.alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    first = start if isinstance(start, Column) else F.lit(start)
-    return parted.withColumn("_r", local).join(F.broadcast(offsets), "_p").withColumn(name, (F.col("_r") + F.col("_before") + first).cast("long")).drop("_p", "_r", "_before")
+    """Number rows ``start`` + 1, + 2, ... in key order without sorting all rows in one task."""
+    return ranges.numbered(keys, name, [], order, start)
 
 
 def lookup_or_insert(facts: DataFrame, dim: DataFrame, on: dict[str, str], serial: str) -> tuple[DataFrame, DataFrame]:

@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cairn.operators import ranges
+
 FIELDS = ("count", "mean", "p99", "p999")
 
 
 def latency(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = False, accuracy: int = 10_000) -> DataFrame:
     """count, mean, p99 and p999 of a column; percentiles from mergeable sketches unless ``exact``."""
-    at = (lambda p: F.percentile(value, F.lit(p))) if exact else (lambda p: F.percentile_approx(value, F.lit(p), F.lit(accuracy)))
-    return df.groupBy(*by).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), at(0.99).alias("p99"), at(0.999).alias("p999"))
+    plain = [F.count(value).alias("count"), F.avg(value).alias("mean")]
+    at = {"p99": 0.99, "p999": 0.999}
+    if not exact:
+        return df.groupBy(*by).agg(*plain, *[F.percentile_approx(value, F.lit(p), F.lit(accuracy)).alias(k) for k, p in at.items()])
+    found = ranges.percentiles(df, value, at, by).select(*[F.col(b).alias(f"__p_{b}") for b in by], *at)
+    match = [F.col(b).eqNullSafe(F.col(f"__p_{b}")) for b in by] or F.lit(True)  # one row where there are no groups
+    return df.groupBy(*by).agg(*plain).join(found, match, "left").select(*by, *FIELDS)
 
 
 def rate(df: DataFrame, ts: str, minutes: Sequence[int] = (1, 5, 15), now: Column | None = None) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -44,10 +48,27 @@ def load_tables(spark: SparkSession, sf_dir: str, register: bool = False) -> dic
     return found
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a local session that names none (tests on one machine) gets a temporary one; on
+    a cluster that would be another folder on every machine, so there it is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="cairn-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
-    import tempfile
-    import uuid
+    """A fresh folder below the shared one."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cairn-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a store that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -2,41 +2,65 @@
 
 Rows lie in hash buckets of the key. A merge reads and rewrites only the buckets
 that its changes touch, by dynamic partition overwrite, so a task that runs again
-or a batch that is applied twice gives the same table.
+or a batch that is applied twice gives the same table. The number of buckets is
+fixed when the table is created, by its rows unless it is named, and stored beside
+the rows; every other object for the same path takes it from there.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators import mutate
 from cairn.schema import TableDef
 
+#: Buckets of a small table, and rows of a bucket of a large one.
+LEAST_BUCKETS, BUCKET_ROWS = 64, 2_000_000
+
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int = 64) -> None:
-        self.spark, self.path, self.key, self.buckets = spark, path, list(key), buckets
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int | None = None) -> None:
+        """``buckets``: for ``create``; where the table exists it must be that of the table, or None."""
+        self.spark, self.path, self.key, self._asked, self._stored_buckets = spark, path, list(key), buckets, None
+
+    @property
+    def buckets(self) -> int:
+        """The number of buckets that the table was created with."""
+        if self._stored_buckets is None:
+            try:
+                found = json.loads(self.spark.read.text(f"{self.path}/_layout", wholetext=True).first()[0])["buckets"]
+            except AnalysisException as error:
+                raise ValueError(f"no keyed table at {self.path}") from error
+            if self._asked not in (None, found):
+                raise ValueError(f"the table at {self.path} has {found} buckets, not {self._asked}")
+            self._stored_buckets = found
+        return self._stored_buckets
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame, touched: Sequence[int] | None) -> None:
+    def _write(self, rows: DataFrame, touched: Sequence[int], replace: str) -> None:
         out = rows.withColumns({"_alive": F.lit(True), "_bucket": self._bucket()})
-        if touched is not None:
-            # a marker keeps a bucket present that has lost its last row
-            marks = self.spark.createDataFrame([(b,) for b in touched], "_bucket int").select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.lit(False).alias("_alive"), "_bucket")
-            out = out.unionByName(marks)
-        out.repartition("_bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("_bucket").parquet(self.path)
+        # a marker keeps a bucket present that has lost its last row
+        marks = self.spark.createDataFrame([(b,) for b in touched], "_bucket int").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.lit(False).alias("_alive"), "_bucket")
+        out.unionByName(marks).repartition("_bucket").write.option("partitionOverwriteMode", replace).mode("overwrite").partitionBy("_bucket").parquet(self.path)
+
+    def _beside(self, name: str, text: str) -> None:
+        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/{name}")
 
     def create(self, rows: DataFrame, definition: TableDef | None = None) -> None:
-        """Write the table anew, and its definition beside it."""
-        self._write(rows, range(self.buckets))
+        """Write the table anew, and its layout and definition beside it."""
+        self._stored_buckets = self._asked or max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
+        self._write(rows, range(self._stored_buckets), "static")
+        self._beside("_layout", json.dumps({"buckets": self._stored_buckets, "key": self.key}))
         if definition:
-            self.spark.createDataFrame([(definition.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/_definition")
+            self._beside("_definition", definition.to_json())
 
     def definition(self) -> TableDef:
         return TableDef.from_json(self.spark.read.text(f"{self.path}/_definition", wholetext=True).first()[0])
@@ -63,7 +87,7 @@ class KeyedTable:
         touched = sorted(r[0] for r in changes.select(self._bucket().alias("b")).distinct().collect())
         if touched:
             base = self._stored().where(F.col("_bucket").isin(touched)).drop("_bucket")
-            self._write(apply(base), touched)
+            self._write(apply(base), touched, "dynamic")
 
 
 def overwrite_partition(df: DataFrame, path: str, partition: str) -> None:
