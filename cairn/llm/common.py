@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,27 +9,25 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.session import shared_root
+
 #: Bytes of an Arrow batch: whole texts can be long, so batches are bounded by size.
 ARROW_BYTES = 16 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def session_of(df: DataFrame) -> SparkSession:
-    """The session of a frame, with Arrow batches sized for whole texts."""
+    """The session of a frame, with Arrow batches bounded for whole texts; a smaller bound is left as it is."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    held = spark.conf.get(_BATCH_BYTES).removesuffix("b")
+    if not held.isdigit() or int(held) > ARROW_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(ARROW_BYTES))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests on one machine) is a temporary one set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="cairn-checkpoint-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    """The folder that driver and executors share."""
+    return shared_root(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -68,33 +65,36 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(begin)
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose doc_id, null included, is not among those of ``gone``, with all their columns."""
-    name, taken = "gone", {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    ids = gone.select(F.col("doc_id").cast("long").alias(name)).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[name]), "left_anti")
-
-
 def row_key(text: Column) -> Column:
     """SHA-256 of a text's bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256))
 
 
-def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key."""
-    id_name, key_name, taken = "gone_id", "gone_key", {c.lower() for c in docs.columns}
+def _named(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, Column]:
+    """(doc_id, own) rows under names that the documents lack, and the condition that a document is such a row."""
+    id_name, key_name, taken = "row_id", "row_key", {c.lower() for c in docs.columns}
     while {id_name, key_name} & taken:
         id_name, key_name = id_name + "_", key_name + "_"
-    lost = gone.select(F.col("doc_id").alias(id_name), F.col("own").alias(key_name)).distinct()
-    return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(lost[id_name]) & (row_key(docs["text"]) == lost[key_name]), "left_anti")
+    named = rows.select(F.col("doc_id").alias(id_name), F.col("own").alias(key_name)).distinct()
+    return named, docs["doc_id"].cast("long").eqNullSafe(named[id_name]) & (row_key(docs["text"]) == named[key_name])
 
 
-def one_without_id(docs: DataFrame) -> DataFrame:
-    """The documents, with one row for each text among those whose doc_id is null."""
-    name, taken = "key", {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    nameless = docs.where(F.col("doc_id").isNull()).withColumn(name, row_key(F.col("text"))).dropDuplicates([name]).drop(name)
-    return docs.where(F.col("doc_id").isNotNull()).unionByName(nameless)
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key."""
+    named, match = _named(gone, docs)
+    return docs.join(named, match, "left_anti")
+
+
+def one_of_each(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The documents without those of ``gone``, and of those of ``repeated`` (none of them gone) one row each.
+
+    Both are (doc_id, own) rows; which of rows with one id and text stays is open.
+    """
+    if repeated.isEmpty():
+        return without_rows(docs, gone)
+    named, match = _named(repeated, docs)
+    key, taken = "key", {c.lower() for c in docs.columns}
+    while key in taken:
+        key += "_"
+    ones = docs.join(named, match, "left_semi").withColumn(key, F.struct(F.col("doc_id").cast("long"), row_key(F.col("text")))).dropDuplicates([key]).drop(key)
+    return without_rows(docs, gone.select("doc_id", "own").unionByName(repeated.select("doc_id", "own"))).unionByName(ones)

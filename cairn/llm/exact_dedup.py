@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, one_without_id, session_of, slices, without_rows
+from cairn.llm.common import as_bytes, cut, one_of_each, session_of, slices
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bytes of content that a table may hold before it is split.
@@ -40,7 +40,7 @@ class OpenTable:
     """Open addressing with linear probing; a slot matches only if the whole content does.
 
     An entry is [digest, content, most code points, doc_id, rows] and, if given, the key of the text that
-    breaks ties of one doc_id.
+    breaks ties of one doc_id, and the number of rows with that doc_id and text.
     """
 
     def __init__(self) -> None:
@@ -62,7 +62,7 @@ class OpenTable:
             self.slots[self._find(entry[0], entry[1])] = entry
 
     def add(self, record: list) -> None:
-        digest, content, points, doc_id, rows, *own = record
+        digest, content, points, doc_id, rows, *rest = record
         at = self._find(digest, content)
         entry = self.slots[at]
         if entry is None:
@@ -73,8 +73,11 @@ class OpenTable:
                 self._grow()
             return
         entry[4] += rows
-        if (-points, doc_id is None, doc_id or 0, own) < (-entry[2], entry[3] is None, entry[3] or 0, entry[5:]):
-            entry[2], entry[3], entry[5:] = points, doc_id, own
+        mine, held = (-points, doc_id is None, doc_id or 0, rest[:1]), (-entry[2], entry[3] is None, entry[3] or 0, entry[5:6])
+        if mine < held:
+            entry[2], entry[3], entry[5:] = points, doc_id, rest
+        elif mine == held and rest:
+            entry[6] += rest[1]
 
     def __iter__(self) -> Iterator[list]:
         return (entry for entry in self.slots if entry is not None)
@@ -125,11 +128,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
     for batch in slices(batches, "text"):
         for doc_id, raw in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True):
             content = raw.translate(None, WHITE)
-            yield [hashlib.sha256(content).digest(), content, len(raw.decode("utf-8", "replace")), doc_id, 1, hashlib.sha256(raw).digest()]
+            yield [hashlib.sha256(content).digest(), content, len(raw.decode("utf-8", "replace")), doc_id, 1, hashlib.sha256(raw).digest(), 1]
 
 
-_RECORD = "digest binary, content binary, points long, doc_id long, n long, own binary"
-_CLASS = "text_sha256 string, keep_id long, group_size long, keep_own binary"
+_RECORD = "digest binary, content binary, points long, doc_id long, n long, own binary, same long"
+_CLASS = "text_sha256 string, keep_id long, group_size long, keep_own binary, keep_same long"
 
 
 def _arrow(schema: pa.Schema, rows: Iterable[list], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -144,12 +147,13 @@ def _arrow(schema: pa.Schema, rows: Iterable[list], most: int = 4 << 20) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-_RECORD_PA = pa.schema([("digest", pa.binary()), ("content", pa.binary()), ("points", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("own", pa.binary())])
-_CLASS_PA = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_own", pa.binary())])
+_RECORD_PA = pa.schema([("digest", pa.binary()), ("content", pa.binary()), ("points", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("own", pa.binary()), ("same", pa.int64())])
+_CLASS_PA = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_own", pa.binary()), ("keep_same", pa.int64())])
 
 
 def classes(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
-    """One row per class of equal texts: text_sha256, keep_id, group_size, keep_own (the key of the kept text)."""
+    """One row per class of equal texts: text_sha256, keep_id, group_size, keep_own (the key of the kept text) and
+    keep_same (the number of rows with the kept id and text)."""
     session_of(docs)
 
     def merge_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +175,7 @@ def classes(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
 
         with tempfile.TemporaryDirectory(prefix="grace-") as folder:
             entries = grace(received(), budget, folder)
-            yield from _arrow(_CLASS_PA, ([e[0].hex(), e[3], e[4], e[5]] for e in entries))
+            yield from _arrow(_CLASS_PA, ([e[0].hex(), e[3], e[4], e[5], e[6]] for e in entries))
 
     local = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(merge_locally, _RECORD)
     return local.repartition("digest").mapInArrow(merge, _CLASS)
@@ -203,12 +207,11 @@ def exact_dedup(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
-    """The documents that stay, with all their columns: of each class the row with the most code points, then the
-    smallest (doc_id, key of the text). Rows repeated with one doc_id and text stay or go together; a null doc_id
-    names no document, so of its equal texts one row stays."""
-    repeated = classes(docs, budget).where("group_size > 1")
+    """The documents that stay, with all their columns: one row of each class, with the most code points, then the
+    smallest (doc_id, key of the text), a null doc_id after all others; of rows with one doc_id and text any one."""
+    repeated = cut(classes(docs, budget).where("group_size > 1"))
     gone = digests(docs).join(repeated, "text_sha256").where("NOT (doc_id <=> keep_id AND own = keep_own)")
-    return without_rows(one_without_id(docs), gone)
+    return one_of_each(docs, gone, repeated.where("keep_same > 1").select(F.col("keep_id").alias("doc_id"), F.col("keep_own").alias("own")))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

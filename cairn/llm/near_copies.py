@@ -2,18 +2,22 @@
 
 A text is the set of its runs of five words (ASCII lower case, cut at ASCII white
 space); one of fewer words is a set of one run, a word-less one the empty set, and
-empty sets equal each other. Texts of the same words are merged to one node. MinHash
-values in 24 bands of 4 bring nodes together: a pair at similarity 0.8 shares no band
-with probability 3e-6, one at 0.9 with 4e-12. Nodes of a band are compared by 96
-samples of 4 bits, at a bound that a pair at 0.8 misses with probability 1e-7, and
-their links are folded to stars, so what leaves a task grows with the nodes and not
-with the pairs. The groups found hold every pair to be tested; in each the real sets
-are compared, and only pairs at 0.8 or more are links.
+empty sets equal each other. Texts of the same words are merged to one node.
+
+Candidates come from two sides. The anchors of ``simhash`` link all texts whose
+fingerprints over these runs differ in 3 bits or fewer; but a pair at 0.8 differs in
+about ten bits, for which no covering code is small enough. So MinHash values in 24
+bands of 4 bring together the rest: a pair at similarity 0.8 shares no band with
+probability 3e-6, one at 0.9 with 4e-12. Nodes of a band are compared by 96 samples
+of 4 bits, at a bound that a pair at 0.8 misses with probability 1e-7. Links are
+folded to stars, so what leaves a task grows with the nodes and not with the pairs.
+The groups found hold every pair to be tested; in each the real sets are compared,
+and only pairs at 0.8 or more are links.
 
 Groups above a bound, of a band or of sets, are cut into blocks and each pair of
 blocks is compared in a group of its own; nothing is capped. Near copies of near
 copies form one component, of which the row with the smallest (doc_id, digest of the
-text) stays, a null doc_id after all others.
+text) stays, a null doc_id after all others; of rows with one doc_id and text any one.
 """
 
 from __future__ import annotations
@@ -27,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, one_without_id, row_key, session_of, slices, without_rows
+from cairn.llm.common import as_bytes, cut, one_of_each, row_key, session_of, slices
 from cairn.llm.components import components
-from cairn.llm.simhash import _fold, _shingle_hashes
+from cairn.llm.simhash import _fold, _shingle_hashes, majority, near_links
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -65,15 +69,16 @@ def sketch(found: np.ndarray) -> tuple[list[int], bytes]:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         for raw in as_bytes(batch.column("text")):
             words = raw.lower().split()
-            found = shingle_set(words)
-            for held, v in zip(out, (hashlib.sha256(b" ".join(words)).digest(), *sketch(found), len(found)), strict=True):
+            runs = _shingle_hashes(words, SHINGLE_WORDS)
+            found = np.unique(runs)
+            for held, v in zip(out, (hashlib.sha256(b" ".join(words)).digest(), *sketch(found), len(found), majority(runs)), strict=True):
                 held.append(v)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("own"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary()), pa.array(out[3], pa.int64())],
-            names=["doc_id", "own", "words", "bands", "bits", "n"])
+            [batch.column("doc_id"), batch.column("own"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary()), pa.array(out[3], pa.int64()), pa.array(np.array(out[4], np.uint64).view(np.int64))],
+            names=["doc_id", "own", "words", "bands", "bits", "n", "fp"])
 
 
 def _stars(group: np.ndarray, node: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,17 +192,25 @@ def _by_group(rows: DataFrame, compare) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "u long, v long")
 
 
-def lost_rows(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SET_BYTES) -> DataFrame:
-    """(doc_id, own) of the rows that do not stay; ``own`` is the key of a row's text."""
+def _alike(nodes: DataFrame) -> DataFrame:
+    """Links of nodes whose fingerprints are linked: all of a fingerprint to its first node, and first nodes to each other."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    own = nodes.join(first.hint("rebalance"), "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    links = near_links(first).join(first.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("first").alias("z")), "v")
+    return own.unionByName(links.select(F.col("a").alias("u"), F.col("z").alias("v")))
+
+
+def verdicts(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SET_BYTES) -> DataFrame:
+    """(doc_id, own, n, stay): each distinct id and text, how many rows have them, and whether it stays; ``own`` is the key of the text."""
     session_of(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("own"), "text")
-    prints = cut(texts.mapInArrow(_sketches, "doc_id long, own binary, words binary, bands array<long>, bits binary, n long"))
+    prints = cut(texts.mapInArrow(_sketches, "doc_id long, own binary, words binary, bands array<long>, bits binary, n long, fp long"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "own")).alias("least")
-    merged = prints.groupBy("words").agg(first, F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("n").alias("n"))
+    merged = prints.groupBy("words").agg(first, *[F.first(c).alias(c) for c in ("bands", "bits", "n", "fp")])
     nodes = cut(merged.withColumn("node", F.monotonically_increasing_id()))
 
     dealt = nodes.select(F.explode("bands").alias("g"), "node", "bits")
-    groups = components(_by_group(_in_blocks(dealt, F.lit(1), band_nodes), _compare_bits))
+    groups = components(_by_group(_in_blocks(dealt, F.lit(1), band_nodes), _compare_bits).unionByName(_alike(nodes.select("fp", "node"))))
     members = nodes.join(groups, "node").select(F.col("root").alias("g"), "node", "n", F.col("least.doc_id").alias("at_id"), F.col("least.own").alias("at_own"))
     members = cut(_in_blocks(members, F.col("n") * 8, set_bytes))
     chosen = members.select("node", "at_id", "at_own").distinct()
@@ -208,9 +221,11 @@ def lost_rows(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SE
     rooted = nodes.join(roots, "node", "left").select("words", "least", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("least").alias("stays")).hint("rebalance")
     verdict = rooted.select("words", "root").join(stays, "root").select("words", F.col("stays.doc_id").alias("stays_id"), F.col("stays.own").alias("stays_own"))
-    return prints.select("doc_id", "own", "words").join(verdict, "words").where("NOT (doc_id <=> stays_id AND own = stays_own)").select("doc_id", "own")
+    rows = prints.groupBy("words", "doc_id", "own").agg(F.count("*").alias("n"))
+    return rows.join(verdict.hint("rebalance"), "words").select("doc_id", "own", "n", (F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col("own") == F.col("stays_own"))).alias("stay"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, one row of each component of near copies, with all their columns."""
-    return without_rows(one_without_id(docs), lost_rows(docs))
+    judged = cut(verdicts(docs).where("NOT stay OR n > 1"))
+    return one_of_each(docs, judged.where("NOT stay"), judged.where("stay"))

@@ -22,6 +22,7 @@ component unless all of the component are null; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, session_of, slices, without
+from cairn.llm.common import as_bytes, cut, one_of_each, session_of, slices
 from cairn.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -77,28 +78,46 @@ def _shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     return np.array([digest(joined[a:z], SEED) for a, z in zip(starts, ends[width - 1 :].tolist(), strict=True)], np.uint64)
 
 
+def _add_bits(ones: np.ndarray, hashes: np.ndarray) -> None:
+    """Add how often each bit is set."""
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _word_of(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0]) if n else 0
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    _add_bits(ones, hashes)
+    return _word_of(ones, len(hashes))
+
+
 def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     """The 64-bit SimHash of a text, as an unsigned integer."""
     ones, n = np.zeros(64, np.int64), 0
     for words in _word_runs(text.lower(), width - 1):
         hashes = _shingle_hashes(words, width)
-        for at in range(0, len(hashes), 1 << 16):
-            part = hashes[at : at + (1 << 16)]
-            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        _add_bits(ones, hashes)
         n += len(hashes)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0]) if n else 0
+    return _word_of(ones, n)
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a long) of each row."""
+    """doc_id, own (the key of the text) and fp (the fingerprint's bits as a long) of each row."""
     session_of(docs)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = np.array([fingerprint(raw, width) for raw in as_bytes(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            raws = as_bytes(batch.column("text"))
+            found = np.array([fingerprint(raw, width) for raw in raws], np.uint64)
+            own = pa.array([hashlib.sha256(raw).digest() for raw in raws], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), own, pa.array(found.view(np.int64))], names=["doc_id", "own", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_batches, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_batches, "doc_id long, own binary, fp long")
 
 
 def _flips() -> np.ndarray:
@@ -215,20 +234,25 @@ def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.select(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other")).alias("anchor"), "fp")
 
 
-def near_components(prints: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS) -> DataFrame:
-    """(doc_id, fp) rows to (fp, component_id), one per distinct fingerprint."""
+def near_links(fps: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS) -> DataFrame:
+    """Distinct fp rows to (u, v) links, as stars that join all fingerprints linked at an anchor."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError("the anchors cover links of at most 3 differing bits")
-    session_of(prints)
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = cut(_links(distinct.select("fp").mapInArrow(_replicate, "anchor long, fp long"), most_bits, limit))
+    found = cut(_links(fps.select("fp").mapInArrow(_replicate, "anchor long, fp long"), most_bits, limit))
     links, later = found.where("NOT later").select("u", "v"), found.where("later").select(F.col("u").alias("anchor"), F.col("v").alias("fp"))
     if not later.isEmpty():
         links = links.unionByName(_links(_in_blocks(later, limit), most_bits, None).select("u", "v"))
-    roots = components(links)
+    return links
+
+
+def near_components(prints: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS) -> DataFrame:
+    """(doc_id, fp) rows to (fp, root, component_id), one per distinct fingerprint; the root is a fingerprint of the component."""
+    session_of(prints)
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(near_links(distinct, most_bits, limit))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).hint("rebalance")
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
@@ -239,8 +263,13 @@ def simhash_dedup(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int =
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """The documents that stay, one (the smallest doc_id) of each component, with all their columns."""
-    return without(docs, simhash_dedup(docs, width, most_bits).where("not doc_id <=> component_id"))
+    """The documents that stay, with all their columns: of each component the row with the smallest (doc_id, key of
+    the text), a null doc_id after all others; of rows with one doc_id and text any one."""
+    prints = cut(fingerprints(docs, width))
+    rows = cut(prints.join(near_components(prints, most_bits), "fp").groupBy("root", "doc_id", "own").agg(F.count("*").alias("n")))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "own")).alias("stays")).hint("rebalance")
+    judged = rows.join(first, "root").withColumn("stay", F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("own") == F.col("stays.own")))
+    return one_of_each(docs, judged.where("NOT stay"), judged.where("stay AND n > 1"))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ def test_groups_cut_into_blocks(docs, prose):
     base = prose(1, 150)
     rows = [(i, edited(base, [3 + 2 * i, 90 + i])) for i in range(40)] + corpus(prose)[:20]
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
-    gone = x.lost_rows(docs(rows), band_nodes=6, set_bytes=4000)
+    gone = x.verdicts(docs(rows), band_nodes=6, set_bytes=4000).where("NOT stay")
     assert sorted({i for i, _ in rows} - {r["doc_id"] for r in gone.collect()}) == brute(rows)
 
 

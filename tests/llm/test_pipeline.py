@@ -21,7 +21,7 @@ def test_run_against_brute_force(spark, docs, prose, tmp_path, monkeypatch):
     model = li.Model([], None, None)
     monkeypatch.setattr(li, "learn", lambda d: model)
 
-    stay = [(i, t) for i, t, _ in rows if t and re.search("[a-z]", t.lower())]
+    stay = [(i, t) for i, t in dict.fromkeys((i, t) for i, t, _ in rows) if t and re.search("[a-z]", t.lower())]
     groups = {}
     for i, t in stay:
         groups.setdefault(re.sub(r"\s", "", t), []).append((-len(t), i))
