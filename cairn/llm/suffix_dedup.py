@@ -13,23 +13,28 @@ bytes to sort.
 2. A task sorts the suffixes of its positions, up to 400 bytes each, and writes
    sorted runs, front-coded: the length of the prefix shared with the suffix
    before, and the rest. Runs are exchanged in buckets of the hash, so suffixes
-   with the same first 128 bytes meet.
-3. A loser tree merges the runs of a bucket. A suffix carries the length of its
-   common prefix with the last one put out, which decides most comparisons; bytes
-   are compared only beyond the prefix known to be common.
+   with the same first 128 bytes meet; there are as many buckets as the number of
+   positions asks for.
+3. A loser tree merges the runs of a bucket, which are unpacked block by block. A
+   suffix carries the length of its common prefix with the last one put out, which
+   decides most comparisons; bytes are compared only beyond the prefix known to be
+   common.
 4. Neighbours' common prefixes to the right, and those of the text to the left of
    the positions, give for each offset the classes of equal windows; a window in a
    class of two or more is repeated. Content is compared, not hashes.
 
 A passage in so many texts that more than ``hot_places`` positions share its first
-128 bytes would make one bucket long. There the stretches that all windows of a
-position cover are counted by digest instead: a stretch met twice is repeated as a
-whole, and only distinct ones are cut into windows, counted by digest in turn. Both
-counts aggregate partially and split in the join; a window's position follows from
-its content, so every window is judged by exactly one way.
+128 bytes would make one bucket long. Such a group is split by the windows
+themselves: equal stretches (the bytes that all windows of a position cover) are
+merged by content, windows whose digest no other has are left out, and the rest are
+sorted, merged and compared by steps 2 and 3 with the window as the suffix and its
+digest as the bucket. A task sends one suffix for all equal windows that it has met,
+so a bucket gets no more of a window than there are tasks. A window's position
+follows from its content, so every window is judged by exactly one way.
 
 Texts that are exact copies are one text to steps 2 to 4, and wholly removed if
-they are long enough. Strings are judged on the input.
+they are long enough. Strings are judged on the input. Intermediate tables are
+deleted as soon as no later step reads them; those that the result is read from stay.
 
 Defined results: a null text counts as empty; texts shorter than ``length`` are
 kept whole; rows repeated with the same id are copies of each other; a null doc_id
@@ -50,13 +55,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm.common import as_bytes, session_of, shared_dir, slices
+from cairn.session import remove_dir
 
 LENGTH = 400
 GRAM = 128
-#: Places that share a first gram and are still sorted together.
-HOT_PLACES = 200_000
+#: Places that share a first gram and are still sorted together, and places of a bucket.
+HOT_PLACES, BUCKET_PLACES = 50_000, 20_000
 _SLICE, _PIECE = 1 << 20, 1 << 20
-_RUN_BYTES, _ANALYSE_ROWS = 48 << 20, 20_000
+#: Bits of a place in a slice and the pieces sampled with it: the same for every slice, so that equal texts are sampled alike.
+_PLACE_BITS = 24
+_RUN_BYTES, _BLOCK_ROWS, _ANALYSE_ROWS = 48 << 20, 256, 20_000
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -81,10 +89,25 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def sample(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Sampled positions of texts: (row, position, first window, last window, hash of the gram)."""
-    pieces = [(r, at, t[at : at + _PIECE + length - 1]) for r, t in enumerate(texts) for at in range(0, max(0, len(t) - length + 1), _PIECE)]
-    if not pieces:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    """Sampled positions of texts: (row, position, first window, last window, hash of the gram).
+
+    Long texts are sampled piece by piece; a position whose windows lie in two pieces comes twice, with its windows shared out.
+    """
+    found, held, size = [], [], 0
+    for r, text in enumerate(texts):
+        for at in range(0, max(0, len(text) - length + 1), _PIECE):
+            held.append((r, at, text[at : at + _PIECE + length - 1]))
+            size += len(held[-1][2])
+            if size >= _PIECE:
+                found.append(_sample(held, length, gram))
+                held, size = [], 0
+    if held:
+        found.append(_sample(held, length, gram))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else tuple(np.zeros(0, np.int64) for _ in range(5))
+
+
+def _sample(pieces: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """``sample`` for pieces (row, where it begins, its bytes)."""
     sizes = np.array([len(p[2]) for p in pieces], np.int64)
     starts = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
@@ -93,7 +116,7 @@ def sample(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[
     up[0] = down[0] = 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(up), dtype=np.uint64)])
     hashes = _mix((sums[gram:] - sums[:-gram]) * np.multiply.accumulate(down)[: n - gram + 1])
-    bits = np.uint64(max(1, int(n).bit_length()))
+    bits = np.uint64(_PLACE_BITS)
     keyed = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     least = _sliding_min(keyed, length - gram + 1)
     place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -115,9 +138,9 @@ def common_prefix(a: bytes, b: bytes, known: int) -> int:
     return n - (x.bit_length() + 7) // 8
 
 
-def encode_run(suffixes: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
+def encode_run(suffixes: list[bytes], before: bytes = b"") -> tuple[np.ndarray, np.ndarray, bytes]:
     """Front coding of sorted strings: shared prefix lengths, lengths of the rest, and the rest."""
-    shared, rest, before = [], [], b""
+    shared, rest = [], []
     for s in suffixes:
         p = common_prefix(before, s, 0)
         shared.append(p)
@@ -126,15 +149,40 @@ def encode_run(suffixes: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.array(shared, np.uint16), np.array(list(map(len, rest)), np.uint16), b"".join(rest)
 
 
-def decode_run(shared: np.ndarray, sizes: np.ndarray, rest: bytes) -> Iterator[tuple[bytes, int]]:
+def decode_run(shared: np.ndarray, sizes: np.ndarray, rest: bytes, before: bytes = b"") -> Iterator[tuple[bytes, int]]:
     """Strings of a run in order, each with its common prefix with the one before."""
-    before, at = b"", 0
+    at = 0
     for p, n in zip(shared.tolist(), sizes.tolist(), strict=True):
         before = before[:p] + rest[at : at + n]
         at += n
         yield before, p
 
 
+def pack_run(rows: list[tuple]) -> bytes:
+    """A sorted run of (suffix, *facts) as packed blocks, each front-coded from the end of the one before."""
+    pack, blocks, before = zstandard.ZstdCompressor(level=1), [], b""
+    for at in range(0, len(rows), _BLOCK_ROWS):
+        part = rows[at : at + _BLOCK_ROWS]
+        blocks.append(pack.compress(pickle.dumps((encode_run([x[0] for x in part], before), [x[1:] for x in part]))))
+        before = part[-1][0]
+    return pickle.dumps(blocks)
+
+
+class PackedRun:
+    """Reads a packed run; one block is unpacked at a time. ``facts`` are those of the suffix given out last."""
+
+    def __init__(self, packed: bytes) -> None:
+        self.blocks = pickle.loads(packed)
+        self.facts: tuple = ()
+
+    def suffixes(self) -> Iterator[tuple[bytes, int]]:
+        unpack, suffix = zstandard.ZstdDecompressor(), b""
+        for block in self.blocks:
+            coded, facts = pickle.loads(unpack.decompress(block))
+            for (suffix, shared), self.facts in zip(decode_run(*coded, suffix), facts, strict=True):
+                yield suffix, shared
+
+
 def merge_runs(runs: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[int, bytes, int]]:
     """Loser tree over sorted runs: (run, string, common prefix with the string put out before).
 
@@ -174,6 +222,13 @@ def merge_runs(runs: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[int, b
             node //= 2
 
 
+def merge_packed(packed: list[bytes]) -> Iterator[tuple[tuple, int]]:
+    """(facts, common prefix with the suffix put out before) of all suffixes of packed runs, in order."""
+    runs = [PackedRun(p) for p in packed]
+    for r, _, prefix in merge_runs([run.suffixes() for run in runs]):
+        yield runs[r].facts, prefix
+
+
 def repeated_offsets(right: np.ndarray, left: list[bytes], low: np.ndarray, high: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
     """Which windows of sorted positions are repeated, by row and offset of the position in the window.
 
@@ -264,68 +319,44 @@ def _listed(column: pa.ListArray) -> Iterator[list[np.ndarray]]:
         yield [f[a:z] for f in fields]
 
 
+def _bucket_runs(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Runs of (bucket, suffix, *facts) rows, one for each bucket; the rows are sorted in place."""
+    held.sort(key=lambda x: x[:2])
+    at, out = 0, []
+    while at < len(held):
+        end = at
+        while end < len(held) and held[end][0] == held[at][0]:
+            end += 1
+        out.append((held[at][0], pack_run([x[1:] for x in held[at:end]])))
+        at = end
+    for begin in range(0, len(out), 64):
+        chunk = out[begin : begin + 64]
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in chunk], pa.int64()), pa.array([r for _, r in chunk], pa.binary())], names=["bucket", "run"])
+
+
 def _write_runs(length: int, buckets: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, held, size = zstandard.ZstdDecompressor(), [], 0
-        pack = zstandard.ZstdCompressor(level=1)
-
-        def runs() -> Iterator[pa.RecordBatch]:
-            held.sort(key=lambda x: x[:2])
-            at, out = 0, []
-            while at < len(held):
-                end = at
-                while end < len(held) and held[end][0] == held[at][0]:
-                    end += 1
-                part = held[at:end]
-                run = (encode_run([x[1] for x in part]), [x[2] for x in part], [x[3] for x in part], np.array([x[4:] for x in part], np.int64))
-                out.append((part[0][0], pack.compress(pickle.dumps(run))))
-                at = end
-            held.clear()
-            for begin in range(0, len(out), 64):
-                chunk = out[begin : begin + 64]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in chunk], pa.int64()), pa.array([r for _, r in chunk], pa.binary())], names=["bucket", "run"])
-
         for batch in batches:
             for tid, packed, fields in zip(batch.column("tid").to_pylist(), batch.column("packed").to_pylist(), _listed(batch.column("places")), strict=True):
                 text = unpack.decompress(packed)
                 for g, m, p, q in zip(*(f.tolist() for f in fields), strict=True):
                     held.append((g % buckets, text[m : q + length], text[p:m][::-1], tid, m, m - q, m - p))
                     size += q + length - p + 200
-                if size > _RUN_BYTES:
-                    yield from runs()
-                    size = 0
-        yield from runs()
+                    if size > _RUN_BYTES:
+                        yield from _bucket_runs(held)
+                        held, size = [], 0
+        if held:
+            yield from _bucket_runs(held)
 
     return write
 
 
-def _merge(length: int, gram: int):
-    kinds = pa.schema([("tid", pa.binary()), ("begin", pa.int64()), ("end", pa.int64())])
+_SPANS = pa.schema([("tid", pa.binary()), ("begin", pa.int64()), ("end", pa.int64())])
 
-    def spans(rows: list[tuple]) -> pa.RecordBatch:
-        """Byte spans covered by repeated windows of whole groups of positions."""
-        right, left, tids, numbers = (list(x) for x in zip(*rows, strict=True))
-        numbers = np.array(numbers, np.int64)
-        flags = repeated_offsets(np.array(right, np.int64), left, numbers[:, 1], numbers[:, 2], length, gram)
-        edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-        row, low = np.nonzero(edge == 1)
-        high = np.nonzero(edge == -1)[1] - 1
-        place = numbers[row, 0]
-        return pa.RecordBatch.from_arrays([pa.array([tids[r] for r in row.tolist()], pa.binary()), pa.array(place - high), pa.array(place - low + length)], schema=kinds)
 
-    def merged(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        runs = [pickle.loads(unpack.decompress(p)) for p in packed]
-        at, held = [0] * len(runs), []
-        for r, _, prefix in merge_runs([decode_run(*run[0]) for run in runs]):
-            _, lefts, tids, numbers = runs[r]
-            if prefix < gram and len(held) >= _ANALYSE_ROWS:
-                yield spans(held)
-                held = []
-            held.append((prefix, lefts[at[r]], tids[at[r]], numbers[at[r]]))
-            at[r] += 1
-        if held:
-            yield spans(held)
+def _by_bucket(merged):
+    """Runs that come sorted by bucket, those of each bucket given to ``merged``."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -342,6 +373,30 @@ def _merge(length: int, gram: int):
     return merge
 
 
+def _merge(length: int, gram: int):
+    def spans(rows: list[tuple]) -> pa.RecordBatch:
+        """Byte spans covered by repeated windows of whole groups of positions."""
+        right, left, tids, places, lows, highs = (list(x) for x in zip(*rows, strict=True))
+        flags = repeated_offsets(np.array(right, np.int64), left, np.array(lows, np.int64), np.array(highs, np.int64), length, gram)
+        edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, low = np.nonzero(edge == 1)
+        high = np.nonzero(edge == -1)[1] - 1
+        place = np.array(places, np.int64)[row]
+        return pa.RecordBatch.from_arrays([pa.array([tids[r] for r in row.tolist()], pa.binary()), pa.array(place - high), pa.array(place - low + length)], schema=_SPANS)
+
+    def merged(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for facts, prefix in merge_packed(packed):
+            if prefix < gram and len(held) >= _ANALYSE_ROWS:
+                yield spans(held)
+                held = []
+            held.append((prefix, *facts))
+        if held:
+            yield spans(held)
+
+    return _by_bucket(merged)
+
+
 def _remove(with_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -396,45 +451,129 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(length: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Digest of every window of the given stretches."""
+        """Digest of every window of the given stretches, with where the window and its stretch begin."""
         for batch in batches:
-            for tid, begin, content, single in zip(*(batch.column(c).to_pylist() for c in ("tid", "begin", "content", "single")), strict=True):
+            for tid, begin, content in zip(*(batch.column(c).to_pylist() for c in ("tid", "begin", "content")), strict=True):
                 found = [_text_id(content[w : w + length]) for w in range(len(content) - length + 1)]
                 n = len(found)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([tid] * n, pa.binary()), pa.array(np.arange(begin, begin + n)), pa.array(found, pa.binary()), pa.array([single] * n, pa.bool_())], names=["tid", "begin", "digest", "single"])
+                    pa.array([tid] * n, pa.binary()), pa.array([begin] * n, pa.int64()), pa.array(np.arange(begin, begin + n)), pa.array(found, pa.binary())], names=["tid", "stretch", "begin", "digest"])
 
     return windows
 
 
+def _window_runs(length: int, buckets: int):
+    """Windows as sorted runs, each of them once in a run; rows that are met twice in one run are known to be repeated.
+
+    Rows are either a run of a bucket or, with no bucket, a repeated window: its text and begin.
+    """
+    kinds = pa.schema([("bucket", pa.int64()), ("run", pa.binary()), ("tid", pa.binary()), ("begin", pa.int64())])
+
+    def out(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        held.sort(key=lambda x: x[:2])
+        rows, known, at = [], [], 0
+        while at < len(held):
+            end = at + 1
+            while end < len(held) and held[end][1] == held[at][1]:
+                end += 1
+            if end > at + 1:
+                known += [(tid, begin) for _, _, tid, begin, asks in held[at:end] if asks]
+            rows.append((*held[at][:4], held[at][4] and end == at + 1))
+            at = end
+        for batch in _bucket_runs(rows):
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], schema=kinds)
+        for begin in range(0, len(known), 1 << 16):
+            part = known[begin : begin + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()), pa.array([t for t, _ in part], pa.binary()), pa.array([b for _, b in part], pa.int64())], schema=kinds)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for tid, stretch, content, single, begins in zip(*(batch.column(c).to_pylist() for c in ("tid", "stretch", "content", "single", "begins")), strict=True):
+                for begin in begins:
+                    window = content[begin - stretch : begin - stretch + length]
+                    held.append((int.from_bytes(_text_id(window)[:8], "big") % buckets, window, tid, begin, single))
+                size += len(begins) * (length + 200)
+                if size > _RUN_BYTES:
+                    yield from out(held)
+                    held, size = [], 0
+        if held:
+            yield from out(held)
+
+    return write
+
+
+def _merge_windows(length: int):
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        begin = np.array([b for _, b in rows], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.binary()), pa.array(begin), pa.array(begin + length)], schema=_SPANS)
+
+    def merged(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        """Spans of the windows that another run has too; only those that ask, and each once."""
+        out, waiting = [], None
+        for (tid, begin, asks), prefix in merge_packed(packed):
+            if prefix >= length:
+                out += [waiting] * (waiting is not None) + [(tid, begin)] * asks
+                waiting = None
+            else:
+                waiting = (tid, begin) if asks else None
+            if len(out) >= 1 << 16:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
+
+    return _by_bucket(merged)
+
+
 def _by_text(places: DataFrame, grams: DataFrame, docs: DataFrame) -> DataFrame:
     """Texts with the list of their places that have one of the grams."""
     wanted = places.join(grams.select("gram"), "gram", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("gram", "place", "first", "last")).alias("places"))
     return _texts(docs).join(wanted, "tid").select("tid", "packed", "places")
 
 
+def _merged(runs: DataFrame, places: int, merge) -> DataFrame:
+    """Runs exchanged by bucket and merged, in as many tasks as the number of places asks for."""
+    least = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartition(max(least, places // (10 * BUCKET_PLACES)), "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "tid binary, begin long, end long")
+
+
+def _buckets(spark: SparkSession, places: int) -> int:
+    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), places // BUCKET_PLACES)
+
+
+def _hot_spans(places: DataFrame, hot: DataFrame, docs: DataFrame, folder: str, length: int) -> DataFrame:
+    """Spans of the places whose gram very many share."""
+    spark = docs.sparkSession
+    stretches = _store(_by_text(places, hot, docs).mapInArrow(_stretches(length), "tid binary, digest binary, content binary, size long, begins array<long>"), folder, "stretches")
+    kinds = stretches.groupBy("digest", "content").agg(F.sum(F.size("begins")).alias("n"), F.min(F.struct("tid", F.element_at("begins", 1).alias("begin"))).alias("at"))
+    kinds = _store(kinds.select("digest", "content", F.col("at.tid").alias("tid"), F.col("at.begin").alias("begin"), (F.col("n") == 1).alias("single")), folder, "kinds")
+    shared = kinds.where("NOT single").select("digest", "content").hint("rebalance")
+    whole = stretches.join(shared, ["digest", "content"], "left_semi").select("tid", "size", "begins").mapInArrow(_covered, "tid binary, begin long, end long")
+
+    windows = _store(kinds.select("tid", "begin", "content").mapInArrow(_windows(length), "tid binary, stretch long, begin long, digest binary"), folder, "windows")
+    again = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").hint("rebalance")
+    asked = windows.join(again, "digest", "left_semi").groupBy("tid", "stretch").agg(F.collect_list("begin").alias("begins"))
+    asked = _store(kinds.withColumnRenamed("begin", "stretch").join(asked, ["tid", "stretch"]).select("tid", "stretch", "content", "single", "begins"), folder, "asked")
+    n = asked.agg(F.sum(F.size("begins"))).first()[0] or 0
+    runs = _store(asked.mapInArrow(_window_runs(length, _buckets(spark, n)), "bucket long, run binary, tid binary, begin long"), folder, "window_runs")
+    known = runs.where("bucket IS NULL").select("tid", "begin", (F.col("begin") + length).alias("end"))
+    met = _merged(runs.where("bucket IS NOT NULL").select("bucket", "run"), n, _merge_windows(length))
+    return whole.unionByName(known).unionByName(met)
+
+
 def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, gram: int = GRAM, hot_places: int = HOT_PLACES) -> DataFrame:
     """(tid, begin, end) spans of distinct texts that are covered by repeated windows; they may overlap."""
     spark = session_of(docs)
     places = _store(_positions(docs, length, gram), folder, "places")
     at = F.xxhash64("tid", "place")
     grams = _store(places.groupBy("gram").agg(F.min(at).alias("a"), F.max(at).alias("z"), F.count("*").alias("n")).where("a <> z").select("gram", "n"), folder, "grams")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = _by_text(places, grams.where(F.col("n") <= hot_places), docs).mapInArrow(_write_runs(length, buckets), "bucket long, run binary")
-    spans = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), "tid binary, begin long, end long")
-    hot = grams.where(F.col("n") > hot_places)
-    if hot.isEmpty():
-        return spans
-    stretches = _store(_by_text(places, hot, docs).mapInArrow(_stretches(length), "tid binary, digest binary, content binary, size long, begins array<long>"), folder, "stretches")
-    kinds = stretches.groupBy("digest").agg(
-        F.sum(F.size("begins")).alias("n"), F.first("content").alias("content"), F.min(F.struct("tid", F.element_at("begins", 1).alias("begin"))).alias("at"))
-    kinds = _store(kinds.select("digest", "content", F.col("at.tid").alias("tid"), F.col("at.begin").alias("begin"), (F.col("n") == 1).alias("single")), folder, "kinds")
-    shared = kinds.where("NOT single").select("digest").hint("rebalance")
-    whole = stretches.join(shared, "digest", "left_semi").select("tid", "size", "begins").mapInArrow(_covered, "tid binary, begin long, end long")
-    windows = _store(kinds.select("tid", "begin", "content", "single").mapInArrow(_windows(length), "tid binary, begin long, digest binary, single boolean"), folder, "windows")
-    again = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").hint("rebalance")
-    partly = windows.where("single").join(again, "digest", "left_semi").select("tid", "begin", (F.col("begin") + length).alias("end"))
-    return spans.unionByName(whole).unionByName(partly)
+    plain = F.col("n") <= hot_places
+    n = grams.agg(F.sum(F.when(plain, F.col("n"))).alias("plain"), F.count_if(~plain).alias("hot")).first()
+    runs = _by_text(places, grams.where(plain), docs).mapInArrow(_write_runs(length, _buckets(spark, n["plain"] or 0)), "bucket long, run binary")
+    spans = _merged(runs, n["plain"] or 0, _merge(length, gram))
+    return spans.unionByName(_hot_spans(places, grams.where(~plain), docs, folder, length)) if n["hot"] else spans
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True, hot_places: int = HOT_PLACES) -> DataFrame:
@@ -447,6 +586,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     facts = _store(_facts(docs), folder, "facts")
     copied = facts.where(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid")
     spans = _store(repeated_spans(docs, folder, length, gram, hot_places), folder, "spans")
+    for name in ("places", "grams", "stretches", "kinds", "windows", "asked", "window_runs"):
+        remove_dir(spark, f"{folder}/{name}")
     by_text = spans.join(copied, "tid", "left_anti").groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     partly = _texts(docs).join(by_text, "tid").select("tid", "packed", "spans").mapInArrow(_remove(with_text), "tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary")
     wholly = copied.select("tid", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(_EMPTY).alias("kept_sha256"), F.lit("").cast("binary").alias("kept"))
