@@ -7,12 +7,15 @@ marginals, so a word borrowed inside another language's sentence is labelled as
 such. A document gets the language with the largest mean marginal, and that mean
 as its score.
 
-Training is a fit on the driver over a sample of at most ``SAMPLE_ROWS`` labelled
-rows a language (bounded, chosen by a hash of doc_id among rows whose crc32 is
-not 2 modulo 4, whole texts of at most ``SAMPLE_TEXT_BYTES``). Training sequences
-splice runs of words of different languages, from which the transitions of
-code-switched text are learned. At most ``MOST_LANGUAGES`` languages, the most
-frequent ones, are learned.
+Training is a fit on the driver over a sample of about ``SAMPLE_ROWS`` labelled
+rows a language, and ``SAMPLE_BYTES`` in all (chosen by a hash of doc_id among rows
+whose crc32 is not 2 modulo 4, whole texts of at most ``SAMPLE_TEXT_BYTES``). Training
+sequences splice runs of words of different languages, from which the transitions of
+code-switched text are learned. Every language that occurs is learned.
+
+The filtering stage keeps a document if some language fits its words: it has letters
+and the mean over its words of the largest marginal is ``MIN_CONFIDENCE`` or more.
+How many languages share the document does not matter.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters or
 a table without labelled rows; null languages are not learned from; repeated
@@ -34,8 +37,8 @@ from cairn.llm.common import as_bytes, is_training_row, session_of, slices
 
 SAMPLE_ROWS = 400
 SAMPLE_TEXT_BYTES = 100_000
-MOST_LANGUAGES = 64
-MIN_SCORE = 0.4
+SAMPLE_BYTES = 64 << 20
+MIN_CONFIDENCE = 0.4
 BUCKETS = 1 << 17
 LEXICON_LEAST = 3
 SEQUENCE_WORDS, SEQUENCES, BATCH, EPOCHS, RATE, DECAY = 64, 6000, 200, 3, 0.3, 1e-5
@@ -254,35 +257,64 @@ def _gradient(scores: np.ndarray, gold: np.ndarray, move: np.ndarray) -> tuple[n
     return grad, pairs
 
 
-def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on the sample of labelled rows that the module's text describes."""
     spark = session_of(docs)
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & is_training_row(F.col("doc_id")))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).orderBy("lang").collect()  # a row a language
     if not counts:
         return fit([], [])
-    share = spark.createDataFrame([(r["lang"], min(1.0, sample_rows / r["n"])) for r in counts], "lang string, share double")
+    most = sample_bytes / len(counts)
+    shares = [(r["lang"], min(1.0, sample_rows / r["n"], most / max(1, r["size"]))) for r in counts]
+    share = spark.createDataFrame(shares, "lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000
     rows = usable.select("doc_id", "lang", "text").join(F.broadcast(share), "lang").where(draw).select("doc_id", "lang", "text").limit(2 * sample_rows * len(counts)).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
     return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 
-def label_texts(model: Model, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
-    languages, score = ["und"] * len(texts), np.zeros(len(texts))
-    words = Words(texts)
-    if not model.languages or not len(words.which):
-        return languages, score
-    size = np.bincount(words.row, minlength=len(texts))
-    found = marginals(model.emissions(words), size, model.transitions)
+def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """Groups of (row, bytes) of bounded size; long texts are cut between words."""
+    held, size = [], 0
+    for r, text in enumerate(texts):
+        low = text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()
+        at = 0
+        while at < len(low):
+            end = min(len(low), at + _SLICE)
+            while end < len(low) and _IS_LETTER[low[end]]:
+                end += 1
+            held.append((r, low[at:end]))
+            size += end - at
+            at = end
+            if size >= _SLICE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def label_texts(model: Model, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score (the language's mean marginal) and confidence (the mean of each word's largest marginal) of each text."""
+    languages, score, confidence = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    emissions, rows = [], []
+    for group in _pieces(texts) if model.languages else ():
+        words = Words([p for _, p in group])
+        emissions.append(model.emissions(words))
+        rows.append(np.array([r for r, _ in group], np.int64)[words.row])
+    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    if not len(row):
+        return languages, score, confidence
+    size = np.bincount(row, minlength=len(texts))
+    found = marginals(np.concatenate(emissions), size, model.transitions)
     some = np.flatnonzero(size)
-    mean = np.add.reduceat(found, (np.cumsum(size) - size)[some], axis=0, dtype=np.float64) / size[some, None]
-    for r, p in zip(some.tolist(), mean, strict=True):
+    begins = (np.cumsum(size) - size)[some]
+    mean = np.add.reduceat(found, begins, axis=0, dtype=np.float64) / size[some, None]
+    sure = np.add.reduceat(found.max(axis=1), begins, dtype=np.float64) / size[some]
+    for r, p, c in zip(some.tolist(), mean, sure.tolist(), strict=True):
         if has_letters(texts[r]):
             best = int(p.argmax())
-            languages[r], score[r] = model.languages[best], min(1.0, float(p[best]))
-    return languages, score
+            languages[r], score[r], confidence[r] = model.languages[best], min(1.0, float(p[best])), min(1.0, c)
+    return languages, score, confidence
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -292,21 +324,21 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            languages, score = label_texts(shared.value, as_bytes(batch.column("text")))
+            languages, score, _ = label_texts(shared.value, as_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None = None, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with a language, at ``min_score`` or more, with all their columns; no shuffle."""
+def keep_identified(docs: DataFrame, model: Model | None = None, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The documents that some language fits, at ``min_confidence`` or more, with all their columns; no shuffle."""
     spark = session_of(docs)
     shared = spark.sparkContext.broadcast(model or learn(docs))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            languages, score = label_texts(shared.value, as_bytes(batch.column("text")))
-            yield batch.filter(pa.array([x != "und" and s >= min_score for x, s in zip(languages, score, strict=True)], pa.bool_()))
+            languages, _, confidence = label_texts(shared.value, as_bytes(batch.column("text")))
+            yield batch.filter(pa.array([x != "und" and c >= min_confidence for x, c in zip(languages, confidence, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
 

@@ -7,9 +7,12 @@ words learned by the lower bound of their log-odds; a listed
 word that the labels speak against is left out. Trees and calibration are fitted by Spark.
 
 Learning uses only labelled rows whose crc32 of doc_id is not 2 modulo 4, split
-by a hash of doc_id into three parts: one for the lexicon (a sample of at most
-``LEXICON_ROWS`` texts of at most ``LEXICON_TEXT_BYTES``), one for the trees and
-one for the calibration (both at most about ``FIT_ROWS`` rows of features).
+by a hash of doc_id into three parts: one for the lexicon (a sample of about
+``LEXICON_ROWS`` rows of texts of at most ``LEXICON_TEXT_BYTES``; its words are
+counted by Spark, and all that pass the bound on their log-odds are learned), one for
+the trees and one for the calibration (both about ``FIT_ROWS`` rows of features).
+What reaches the driver is the learned words alone. A score is the calibrated value
+of the isotonic step function, no more.
 
 Defined results: a null text counts as empty and is scored like any other; rows
 labelled twice count with the higher label, null labels not at all; without rows
@@ -21,7 +24,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +31,18 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm.common import as_bytes, cut, is_training_row, session_of, slices
 
 LEXICON_ROWS, LEXICON_TEXT_BYTES, FIT_ROWS = 6000, 100_000, 20_000
+#: Distinct words of a text that the lexicon counts are ASCII or other letters, of bounded length.
+WORD_CHARS = 40
 TREES, DEPTH, RATE = 20, 4, 0.2
 THRESHOLD = 0.3
-LEARNED_LEAST, LEARNED_ODDS, LEARNED_WORDS = 8, 0.5, 300
+LEARNED_LEAST, LEARNED_ODDS = 8, 0.5
 NEAR_WORDS = 4
 #: Common insults and second-person words.
 INSULTS = (
@@ -124,19 +128,32 @@ def text_features(text: str, marks: Marks) -> list[float]:
     ]
 
 
-def learn_lexicon(texts: list[str], toxic: list[int]) -> dict[str, float]:
-    """Weights of insults: the fixed list, and words far more frequent in toxic texts."""
-    yes, no = Counter(), Counter()
-    for text, label in zip(texts, toxic, strict=True):
-        (yes if label else no).update({low for w in text.split() if (low := _EDGE.sub("", w).lower()) and low.isalpha()})
-    n_yes, n_no = sum(map(bool, toxic)), len(toxic) - sum(map(bool, toxic))
-    odds = {}
-    for w in {*yes, *no}:
-        if yes[w] + no[w] >= LEARNED_LEAST:
-            k, m = yes[w] + 0.5, no[w] + 0.5
-            odds[w] = math.log(k / (n_yes + 1)) - math.log(m / (n_no + 1)) - 1.96 * math.sqrt(1 / k + 1 / m)
-    best = dict(sorted(((w, o) for w, o in odds.items() if o >= LEARNED_ODDS), key=lambda x: (-x[1], x[0]))[:LEARNED_WORDS])
-    return {w: 1.0 for w in INSULTS if odds.get(w, LEARNED_ODDS) >= LEARNED_ODDS} | best
+def words_of(text: str) -> set[str]:
+    """The distinct words of a text that can be learned: letters only, in lower case."""
+    return {low for w in text.split() if (low := _EDGE.sub("", w).lower()).isalpha() and len(low) <= WORD_CHARS}
+
+
+def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+    """Weights of insults from (text, toxic) rows: the fixed list, and words far more frequent in toxic texts.
+
+    A word counts by the lower bound (95 %) of its log-odds between toxic and other
+    texts; a listed word that the labels speak against is left out.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            for raw, toxic in zip(as_bytes(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
+                found = sorted(words_of(raw.decode("utf-8", "replace")))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([toxic] * len(found), pa.int32())], names=["word", "toxic"])
+
+    n = rows.agg(F.count_if(F.col("toxic") > 0).alias("yes"), F.count_if(F.col("toxic") <= 0).alias("no")).first()
+    counts = rows.select("text", "toxic").mapInArrow(work, "word string, toxic int").groupBy("word").agg(
+        F.count_if(F.col("toxic") > 0).alias("yes"), F.count_if(F.col("toxic") <= 0).alias("no")).where(F.col("yes") + F.col("no") >= LEARNED_LEAST)
+    k, m = F.col("yes") + 0.5, F.col("no") + 0.5
+    odds = F.log(k / (n["yes"] + 1)) - F.log(m / (n["no"] + 1)) - 1.96 * F.sqrt(1 / k + 1 / m)
+    judged = counts.withColumn("odds", odds).where((F.col("odds") >= LEARNED_ODDS) | F.col("word").isin(list(INSULTS))).select("word", "odds").collect()
+    found = {r["word"]: r["odds"] for r in judged}
+    return {w: 1.0 for w in INSULTS if found.get(w, LEARNED_ODDS) >= LEARNED_ODDS} | {w: o for w, o in sorted(found.items()) if o >= LEARNED_ODDS}
 
 
 def features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
@@ -164,6 +181,11 @@ def _bounded(rows: DataFrame, n: int, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * most)
 
 
+def calibration(rows: DataFrame) -> IsotonicRegressionModel:
+    """The isotonic function from ``raw`` to the share of toxic rows."""
+    return IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="calibrated").fit(rows.select("raw", F.col("toxic").cast("double").alias("toxic")))
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id and score of each row of the documents."""
     spark = session_of(docs)
@@ -172,9 +194,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     n = {r["p"]: r["n"] for r in known.groupBy(F.when(_part(0, 4), "lexicon").when(_part(5, 7), "trees").otherwise("calibration").alias("p")).agg(F.count("*").alias("n")).collect()}
     sample = _bounded(known.where(_part(0, 4)), n.get("lexicon", 0), LEXICON_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= LEXICON_TEXT_BYTES)
-    rows = texts.join(F.broadcast(sample), "doc_id").limit(2 * LEXICON_ROWS).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
-    lexicon = learn_lexicon([r["text"] for r in rows], [r["toxic"] for r in rows])
+    lexicon = learn_lexicon(cut(texts.join(F.broadcast(sample), "doc_id")))
 
     own = cut(features(docs, lexicon))
     learning = {
@@ -192,10 +212,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     if not 0 < shares["calibration"] < 1:
         return raw(own).select("doc_id", F.col("raw").alias("score"))
-    isotonic = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="calibrated").fit(raw(learning["calibration"]).select("raw", F.col("toxic").cast("double").alias("toxic")))
-    # steps of the calibration are flat: a little of the trees' own score keeps their order
-    blended = 0.98 * F.col("calibrated") + 0.02 * F.col("raw")
-    return isotonic.transform(raw(own).select("doc_id", "raw")).select("doc_id", F.least(F.greatest(blended, F.lit(0.0)), F.lit(1.0)).alias("score"))
+    isotonic = calibration(raw(learning["calibration"]).select("raw", "toxic"))
+    calibrated = isotonic.transform(raw(own).select("doc_id", "raw"))
+    return calibrated.select("doc_id", F.least(F.greatest("calibrated", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

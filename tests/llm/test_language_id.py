@@ -57,7 +57,7 @@ def test_held_out_accuracy_and_code_switching(docs, prose):
     rows = corpus(prose)
     model = x.fit([t.encode() for _, t, _ in rows], [c for *_, c in rows])
     test = [prose(900 + i, 30, A if i % 2 else B) for i in range(40)]
-    found, score = x.label_texts(model, [t.encode() for t in test])
+    found, score, _ = x.label_texts(model, [t.encode() for t in test])
     assert sum(f == ("aa" if i % 2 else "bb") for i, f in enumerate(found)) >= 39
     mixed = (prose(1, 30, A) + " " + prose(2, 30, B)).encode()
     words = x.Words([mixed])
@@ -79,3 +79,24 @@ def test_rows(docs, prose):
 def test_without_labels(docs):
     assert x.identify(docs([])).collect() == []
     assert [(r["lang_pred"], r["score"]) for r in x.identify(docs([(1, "words", None)])).collect()] == [("und", 0.0)]
+
+
+def test_every_language_is_learned_and_mixed_texts_stay(docs, prose):
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(70)]
+    sound = {n: (n + "ko", n[::-1] + "tu", n + n) for n in names}
+    rows = [(100 * k + j, prose(1000 * k + j, 60, sound[n]), n) for k, n in enumerate(names) for j in range(6)]
+    model = x.learn(docs(rows))
+    assert model.languages == names
+    mixed = " ".join(prose(5000 + k, 25, sound[names[k]]) for k in range(5))
+    assert x.label_texts(model, [mixed.encode()])[1][0] < 0.4
+    assert x.keep_identified(docs([(1, mixed, None)]), model).count() == 1
+
+
+def test_pieces_change_nothing(prose, monkeypatch):
+    rows = corpus(prose)
+    model = x.fit([t.encode() for _, t, _ in rows], [c for *_, c in rows])
+    texts = [prose(1, 300, A).encode(), b"", "Été ÉTÉ ".encode() * 50 + prose(2, 60, B).encode(), b"1 2 3"]
+    whole = x.label_texts(model, texts)
+    monkeypatch.setattr(x, "_SLICE", 50)
+    cut = x.label_texts(model, texts)
+    assert whole[0] == cut[0] and np.allclose(whole[1], cut[1]) and np.allclose(whole[2], cut[2])

@@ -17,7 +17,7 @@ def test_run_against_brute_force(spark, docs, prose, tmp_path, monkeypatch):
     docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     # the language stage is learned; its decisions are fixed here, the others are worked out
-    monkeypatch.setattr(li, "label_texts", lambda model, texts: (["aa" if li.has_letters(t) else "und" for t in texts], [1.0] * len(texts)))
+    monkeypatch.setattr(li, "label_texts", lambda model, texts: (["aa" if li.has_letters(t) else "und" for t in texts], [1.0] * len(texts), [1.0] * len(texts)))
     model = li.Model([], None, None)
     monkeypatch.setattr(li, "learn", lambda d: model)
 
