@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from cairn.llm.common import as_bytes, session_of, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Segments whose ids a worker remembers; a bound on memory that results do not depend on.
-REMEMBERED = 300_000
+#: Segments whose ids a worker remembers, and their longest; a bound on memory that results do not depend on.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 32
 _UNSAFE = re.compile(r"\s \s|\s \Z")
 
 
@@ -76,13 +76,14 @@ class Codec:
         cut = [self.segments(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
+        known, others = self.known, {}
         new = list(set().union(*cut).difference(known))
         for begin in range(0, len(new), 20_000):
             part = new[begin : begin + 20_000]
             for segment, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[segment] = array("I", found.ids).tobytes()
-        return [b"".join(map(known.__getitem__, segments)) for segments in cut]
+                (known if len(segment) <= REMEMBERED_CHARS else others)[segment] = array("I", found.ids).tobytes()
+        find = (lambda s: known[s] if s in known else others[s]) if others else known.__getitem__
+        return [b"".join(map(find, segments)) for segments in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

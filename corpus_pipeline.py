@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm import byte_bpe, decontaminate, exact_dedup, language_id, near_copies
 from cairn.llm.common import shared_dir
+from cairn.session import remove_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +49,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
+    """The rows of the last stage over ``documents``.
+
+    A stage's table goes once the next one is written; that which the last stage reads stays.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_dir(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
