@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +37,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """The frame written as Parquet below a folder of the shared one and read again: cuts lineage, and goes with the folder."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_training_row(doc_id: Column) -> Column:
     """Rows that models may learn from: crc32 of the id as text, modulo 4, is not 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(True))

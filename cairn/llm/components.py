@@ -1,34 +1,45 @@
 """Connected components over an edge table by alternating large and small stars.
 
 Both steps are aggregations with partial sums and joins on the vertex, so no
-neighbourhood is ever gathered in one task; each round is checkpointed. The
-aggregated side of a join is rebalanced first: then both sides are dealt out for
-the join alone, and the skew-join rule may split a node with very many edges.
+neighbourhood is ever gathered in one task; each round is stored in the shared
+folder, and the round before it deleted. The aggregated side of a join is rebalanced
+first: then both sides are dealt out for the join alone, and the skew-join rule may
+split a node with very many edges.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import cut
+from cairn.llm.common import shared_dir
+from cairn.session import remove_dir
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, folder: str | None = None) -> DataFrame:
     """(u, v) edges of any direction to (node, root); root is the smallest node reachable.
 
-    Nodes without an edge have no row.
+    Nodes without an edge have no row. The result is read from a table below ``folder``.
     """
-    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = cut(edges)
+    spark = edges.sparkSession
+    folder = f"{folder or shared_dir(spark)}/components-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, k: int) -> DataFrame:
+        df.write.parquet(f"{folder}/{k}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{k}")
+
+    edges = keep(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), 0)
     seen = None
-    for _ in range(most_rounds):
+    for k in range(1, most_rounds + 1):
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if seen == now or now["n"] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = now
-        edges = cut(_small_star(_large_star(edges)))
+        edges = keep(_small_star(_large_star(edges)), k)
+        remove_dir(spark, f"{folder}/{k - 1}")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 

@@ -8,8 +8,8 @@ at least 0.8 of them equal. An item of fewer words is looked for whole, by masks
 over all of it that meet every placement of a fifth of its words substituted.
 
 The documents are read once: a task works out the seeds of their words, and keeps
-those that a filter over the benchmark's seeds lets through (one hash, of bounded
-size, whatever the benchmark's), with the word hashes of the few documents that have
+those that a Bloom filter over the benchmark's seeds lets through (of bounded size,
+whatever the benchmark's; a fuller one lets through more, and loses none), with the word hashes of the few documents that have
 any. These are joined with the seeds of the benchmark; a hit gives an alignment, and
 the item is compared with the document along it, word by word. In the joins the
 skew-join rule may split a seed that very many documents have.
@@ -43,8 +43,8 @@ OVERLAP_WORDS = 13
 SIMILARITY = 0.8
 #: Words of an item from which on it taints documents in the filtering stage.
 LEAST_WORDS = 8
-#: Bits of the filter over the benchmark's seeds for each of them, and powers of two that bound its size.
-FILTER_SHARE, FILTER_LEAST, FILTER_MOST = 32, 20, 28
+#: Bits of the Bloom filter for each of the benchmark's seeds, places of a seed in it, and powers of two that bound its size.
+FILTER_SHARE, FILTER_PLACES, FILTER_LEAST, FILTER_MOST = 64, 4, 20, 28
 _SLICE = 1 << 20
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _IS_WORD = np.zeros(256, bool)
@@ -180,17 +180,26 @@ def _item_seeds(items: DataFrame, overlap: int, similarity: float, folder: str)
     return items.sparkSession.read.parquet(f"{folder}/seeds")
 
 
+def _place(seed: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The k-th place of each seed in a filter of 2 ** bits."""
+    return _mix(seed + np.uint64((k + 1) * _INVERSE % (1 << 64))) >> np.uint64(64 - bits)
+
+
 def _filter(item_seeds: DataFrame) -> tuple[int, Broadcast]:
-    """(bits of a place, bitmap of the places of all seeds): at most 2 ** FILTER_MOST bits, made on the executors."""
-    n = item_seeds.count()
-    bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_SHARE * n).bit_length()))
-    place = F.shiftrightunsigned("seed", 64 - bits) + 1
-    maps = item_seeds.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    """(power of two, bitmap) of a Bloom filter over all seeds: at most 2 ** FILTER_MOST bits, made on the executors."""
+    bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_SHARE * item_seeds.count()).bit_length()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seed = batch.column("seed").to_numpy().astype(np.int64).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_place(seed, k, bits) for k in range(FILTER_PLACES)]).astype(np.int64) + 1)], names=["place"])
+
+    places = item_seeds.select("seed").mapInArrow(work, "place long")
+    maps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
     held = np.zeros(1 << bits >> 3, np.uint8)
     for r in maps:
-        part = np.frombuffer(r["bits"], np.uint8)
         at = (r["bucket"] - 1) * 4096
-        held[at : at + 4096] = part[: len(held) - at]
+        held[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)[: len(held) - at]
     return bits, item_seeds.sparkSession.sparkContext.broadcast(held)
 
 
@@ -208,8 +217,10 @@ def _candidates(docs: DataFrame, masks: list[str], bits: int, held: Broadcast, f
             passed, places = [], []
             for mask in masks:
                 own = seeds(hashes, mask)
-                slot = own >> np.uint64(64 - bits)
-                maybe = np.flatnonzero(bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+                maybe = np.arange(len(own))
+                for k in range(FILTER_PLACES):
+                    slot = _place(own[maybe], k, bits)
+                    maybe = maybe[(bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & np.uint8(1)) > 0]
                 maybe = maybe[row[maybe] == row[maybe + len(mask) - 1]]
                 passed.append(own[maybe])
                 places.append(maybe)

@@ -23,6 +23,7 @@ text) stays, a null doc_id after all others; of rows with one doc_id and text an
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, one_of_each, row_key, session_of, slices
+from cairn.llm.common import as_bytes, one_of_each, row_key, session_of, shared_dir, slices, stored
 from cairn.llm.components import components
 from cairn.llm.simhash import _fold, _shingle_hashes, majority, near_links
+from cairn.session import remove_dir
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -192,31 +194,35 @@ def _by_group(rows: DataFrame, compare) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "u long, v long")
 
 
-def _alike(nodes: DataFrame) -> DataFrame:
+def _alike(nodes: DataFrame, folder: str) -> DataFrame:
     """Links of nodes whose fingerprints are linked: all of a fingerprint to its first node, and first nodes to each other."""
     first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
     own = nodes.join(first.hint("rebalance"), "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    links = near_links(first).join(first.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("first").alias("z")), "v")
+    links = near_links(first, folder=folder).join(first.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("first").alias("z")), "v")
     return own.unionByName(links.select(F.col("a").alias("u"), F.col("z").alias("v")))
 
 
-def verdicts(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SET_BYTES) -> DataFrame:
-    """(doc_id, own, n, stay): each distinct id and text, how many rows have them, and whether it stays; ``own`` is the key of the text."""
+def verdicts(docs: DataFrame, folder: str, band_nodes: int = BAND_NODES, set_bytes: int = SET_BYTES) -> DataFrame:
+    """(doc_id, own, n, stay): each distinct id and text, how many rows have them, and whether it stays; ``own`` is the key of the text.
+
+    What is read again lies below ``folder``.
+    """
     session_of(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("own"), "text")
-    prints = cut(texts.mapInArrow(_sketches, "doc_id long, own binary, words binary, bands array<long>, bits binary, n long, fp long"))
+    prints = stored(texts.mapInArrow(_sketches, "doc_id long, own binary, words binary, bands array<long>, bits binary, n long, fp long"), folder)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "own")).alias("least")
     merged = prints.groupBy("words").agg(first, *[F.first(c).alias(c) for c in ("bands", "bits", "n", "fp")])
-    nodes = cut(merged.withColumn("node", F.monotonically_increasing_id()))
+    nodes = stored(merged.withColumn("node", F.monotonically_increasing_id()), folder)
 
-    dealt = nodes.select(F.explode("bands").alias("g"), "node", "bits")
-    groups = components(_by_group(_in_blocks(dealt, F.lit(1), band_nodes), _compare_bits).unionByName(_alike(nodes.select("fp", "node"))))
+    dealt = _in_blocks(nodes.select(F.explode("bands").alias("g"), "node"), F.lit(1), band_nodes)  # bits follow only for groups of two or more
+    near = _by_group(dealt.join(nodes.select("node", "bits"), "node").select("g", "node", "bits"), _compare_bits)
+    groups = components(near.unionByName(_alike(nodes.select("fp", "node"), folder)), folder=folder)
     members = nodes.join(groups, "node").select(F.col("root").alias("g"), "node", "n", F.col("least.doc_id").alias("at_id"), F.col("least.own").alias("at_own"))
-    members = cut(_in_blocks(members, F.col("n") * 8, set_bytes))
+    members = stored(_in_blocks(members, F.col("n") * 8, set_bytes), folder)
     chosen = members.select("node", "at_id", "at_own").distinct()
     text_of = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("own") == F.col("at_own"))).select(F.col("node").alias("g"), "node", "text")
     sets = text_of.mapInArrow(_sets, "g long, node long, found binary").select("node", "found").dropDuplicates(["node"])
-    roots = components(_by_group(members.select("g", "node").join(sets, "node"), _compare_sets))
+    roots = components(_by_group(members.select("g", "node").join(sets, "node"), _compare_sets), folder=folder)
 
     rooted = nodes.join(roots, "node", "left").select("words", "least", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("least").alias("stays")).hint("rebalance")
@@ -227,5 +233,7 @@ def verdicts(docs: DataFrame, band_nodes: int = BAND_NODES, set_bytes: int = SET
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, one row of each component of near copies, with all their columns."""
-    judged = cut(verdicts(docs).where("NOT stay OR n > 1"))
+    root = f"{shared_dir(docs.sparkSession)}/near-{uuid.uuid4().hex}"
+    judged = stored(verdicts(docs, f"{root}/work").where("NOT stay OR n > 1"), root)
+    remove_dir(docs.sparkSession, f"{root}/work")
     return one_of_each(docs, judged.where("NOT stay"), judged.where("stay"))

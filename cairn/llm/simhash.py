@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, cut, one_of_each, session_of, slices
+from cairn.llm.common import as_bytes, cut, one_of_each, session_of, shared_dir, slices, stored
 from cairn.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -234,11 +234,11 @@ def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.select(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other")).alias("anchor"), "fp")
 
 
-def near_links(fps: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS) -> DataFrame:
+def near_links(fps: DataFrame, most_bits: int = MOST_BITS, limit: int = ANCHOR_ROWS, folder: str | None = None) -> DataFrame:
     """Distinct fp rows to (u, v) links, as stars that join all fingerprints linked at an anchor."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError("the anchors cover links of at most 3 differing bits")
-    found = cut(_links(fps.select("fp").mapInArrow(_replicate, "anchor long, fp long"), most_bits, limit))
+    found = stored(_links(fps.select("fp").mapInArrow(_replicate, "anchor long, fp long"), most_bits, limit), folder or shared_dir(fps.sparkSession))
     links, later = found.where("NOT later").select("u", "v"), found.where("later").select(F.col("u").alias("anchor"), F.col("v").alias("fp"))
     if not later.isEmpty():
         links = links.unionByName(_links(_in_blocks(later, limit), most_bits, None).select("u", "v"))

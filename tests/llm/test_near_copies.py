@@ -48,11 +48,11 @@ def test_stage_finds_edited_copies(spark, docs, prose):
     assert sorted(r["doc_id"] for r in got.collect()) == brute(rows)
 
 
-def test_groups_cut_into_blocks(docs, prose):
+def test_groups_cut_into_blocks(docs, prose, tmp_path):
     base = prose(1, 150)
     rows = [(i, edited(base, [3 + 2 * i, 90 + i])) for i in range(40)] + corpus(prose)[:20]
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
-    gone = x.verdicts(docs(rows), band_nodes=6, set_bytes=4000).where("NOT stay")
+    gone = x.verdicts(docs(rows), str(tmp_path), band_nodes=6, set_bytes=4000).where("NOT stay")
     assert sorted({i for i, _ in rows} - {r["doc_id"] for r in gone.collect()}) == brute(rows)
 
 
