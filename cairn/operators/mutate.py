@@ -158,6 +158,26 @@ def expression_upsert(
     return folded.where("_end._exists").select(*keys, *[F.col("_end")[v].alias(v) for v in values]).select(*base.columns)
 
 
+_STRICT = {"greater": F.max_by, "less": F.min_by}
+
+
+def _put_extremes(base: DataFrame, changes: DataFrame, key: Sequence[str], column: str, operator: str, null_as: str | None) -> DataFrame:
+    """Puts alone that need a greater (or smaller) value in one column: of a key's log only two rows matter, the first,
+    which inserts where there is no row, and the first with the extreme value. Both aggregate partially, so the log of a hot key is never gathered."""
+    values = [c for c in base.columns if c not in key]
+    row = F.struct(*[F.col(v).cast(base.schema[v].dataType).alias(v) for v in values])
+    place = F.struct(F.col(column), -F.col("_seq") if operator == "greater" else F.col("_seq"))
+    log = changes.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key]).agg(
+        F.min_by(row, "_seq").alias("_first"), _STRICT[operator](row, F.when(F.col(column).isNotNull(), place)).alias("_best"))
+    held = base.select(*key, F.struct(*values).alias("_b"), F.lit(True).alias("_base"))
+    both = held.join(log, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key], "full_outer")
+    start = F.when(F.col("_base"), F.col("_b")).otherwise(F.col("_first"))
+    old = f"coalesce(_start.{_tick(column)}, {null_as})" if null_as is not None else f"_start.{_tick(column)}"
+    end = F.when(F.expr(f"_best.{_tick(column)} {OPERATORS[operator]} {old}"), F.col("_best")).otherwise(F.col("_start"))
+    keys = [F.when(F.col("_base"), F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in key]
+    return both.withColumn("_start", start).withColumn("_end", end).select(*keys, *[F.col("_end")[v].alias(v) for v in values]).select(*base.columns)
+
+
 def check_and_put(
     base: DataFrame, changes: DataFrame, key: Sequence[str], column: str, operator: str, value: str | None = None, null_as: str | None = None,
 ) -> DataFrame:
@@ -177,4 +197,6 @@ def check_and_put(
     if operator in ("is_null", "is_not_null"):
         return expression_upsert(base, changes, key, where=f"{old} {OPERATORS[operator]}")
     held = f"coalesce({old}, {null_as})" if null_as is not None else old
+    if value is None and operator in _STRICT and "_op" not in changes.columns:
+        return _put_extremes(base, changes, key, column, operator, null_as)
     return expression_upsert(base, changes, key, where=f"{value if value is not None else f'excluded.{_tick(column)}'} {OPERATORS[operator]} {held}")

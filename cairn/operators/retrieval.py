@@ -43,29 +43,48 @@ def nearest_by(vectors: DataFrame, query: Sequence[float], k: int, by: str, vect
     return part.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k).select(by, "rank", id_, "distance")
 
 
-def nearest_for(queries: DataFrame, vectors: DataFrame, k: int, vector: str = "embedding", id_: str = "vec_id", metric: str = "l2", most_queries: int = 100_000) -> DataFrame:
-    """(query_id, rank, id, distance) for a bounded set of queries against all rows.
+def nearest_for(queries: DataFrame, vectors: DataFrame, k: int, vector: str = "embedding", id_: str = "vec_id", metric: str = "l2", block: int = 100_000) -> DataFrame:
+    """(query_id, rank, id, distance) for a stated set of queries, with unique ids, against all rows.
 
-    The queries are a stated set of checked size; each task scans its vectors against
-    them, some at a time, and keeps k rows for each query before anything is shuffled.
+    The queries are taken in blocks of about ``block``, chosen by a hash of the id; each
+    block is broadcast, and each task scans its vectors against it and keeps k rows for
+    each query before anything is shuffled. Products of matrices rule out vectors that
+    are too far whatever the rounding; the distances of the others are worked out directly.
     """
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    asked = queries.select(F.col(id_).alias("q"), F.col(vector).alias("v")).where(F.col(vector).isNotNull())
+    blocks = max(1, -(-asked.count() // block))
+    own = F.pmod(F.xxhash64("q"), F.lit(blocks))
+    source = vectors.select(id_, vector).where(F.col(vector).isNotNull())
+    parts = [source.mapInArrow(_nearest_in(asked.where(own == b) if blocks > 1 else asked, id_, k, metric), f"query_id long, {id_} long, distance double") for b in range(blocks)]
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", id_))
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_, "distance")
+
+
+def _nearest_in(asked: DataFrame, id_: str, k: int, metric: str):
     import numpy as np
     import pyarrow as pa
-    from pyspark.sql import Window
 
-    asked = queries.select(F.col(id_).alias("q"), F.col(vector).alias("v")).limit(most_queries + 1).collect()
-    if len(asked) > most_queries:
-        raise ValueError(f"more than {most_queries} queries; give them in parts")
-    spark = vectors.sparkSession
-    names, matrix = [r["q"] for r in asked], np.array([r["v"] for r in asked], np.float64)
-    shared = spark.sparkContext.broadcast((names, matrix))
+    rows = asked.collect()
+    shared = asked.sparkSession.sparkContext.broadcast(([r["q"] for r in rows], np.array([r["v"] for r in rows], np.float64)))
 
-    def far(q, x):
+    def direct(q, x):
         if metric == "l2":
-            return (q * q).sum(1)[:, None] - 2 * q @ x.T + (x * x).sum(1)[None]
+            return ((q - x) ** 2).sum(1)
+        dots = (q * x).sum(1)
+        return 1 - dots / (np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1)) if metric == "cosine" else -dots
+
+    def roughly(q, x):
+        """Distances by products, and a bound on what rounding adds or takes."""
+        if metric == "l2":
+            qq, xx = (q * q).sum(1)[:, None], (x * x).sum(1)[None]
+            return qq - 2 * q @ x.T + xx, 1e-12 * (qq + xx)
         if metric == "cosine":
-            return 1 - (q @ x.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
-        return -(q @ x.T)
+            return 1 - (q @ x.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)), 1e-12
+        return -(q @ x.T), 1e-12 * np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
 
     def work(batches):
         names, queries = shared.value
@@ -73,19 +92,25 @@ def nearest_for(queries: DataFrame, vectors: DataFrame, k: int, vector: str = "e
         for batch in batches:
             ids, x = batch.column(0).to_numpy(zero_copy_only=False), np.array(batch.column(1).to_pylist(), np.float64)
             for at in range(0, len(names) if len(ids) else 0, 128):
-                d = far(queries[at : at + 128], x)
-                i = np.broadcast_to(ids, d.shape)
+                q = queries[at : at + 128]
+                d, slack = roughly(q, x)
+                least, most = d - slack, np.sort(d + slack, axis=1)[:, min(k, len(ids)) - 1]
+                if at in best and best[at][0].shape[1] == k:
+                    most = np.minimum(most, best[at][0][:, -1])
+                row, column = np.nonzero(least <= most[:, None])
+                near = np.full(d.shape, np.inf)
+                near[row, column] = direct(q[row], x[column])
+                far = np.broadcast_to(ids, d.shape)
                 if at in best:
-                    d, i = np.hstack([best[at][0], d]), np.hstack([best[at][1], i])
-                order = np.lexsort((i, d), axis=1)[:, :k]
-                best[at] = np.take_along_axis(d, order, 1), np.take_along_axis(i, order, 1)
+                    near, far = np.hstack([best[at][0], near]), np.hstack([best[at][1], far])
+                order = np.lexsort((far, near), axis=1)[:, :k]
+                best[at] = np.take_along_axis(near, order, 1), np.take_along_axis(far, order, 1)
         for at, (d, i) in best.items():
+            real = np.isfinite(d.ravel())
             asked = np.repeat(names[at : at + 128], d.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(i.ravel()), pa.array(d.ravel())], names=["query_id", id_, "distance"])
+            yield pa.RecordBatch.from_arrays([pa.array(asked[real]), pa.array(i.ravel()[real]), pa.array(d.ravel()[real])], names=["query_id", id_, "distance"])
 
-    part = vectors.select(id_, vector).where(F.col(vector).isNotNull()).mapInArrow(work, f"query_id long, {id_} long, distance double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", id_))
-    return part.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_, "distance")
+    return work
 
 
 def pack(docs: DataFrame, by: Sequence[str], rank: str, size: str, id_: str, budget: int) -> DataFrame:
@@ -143,7 +168,7 @@ def keywords(docs: DataFrame, id_: str, text: str, k: int = 5) -> DataFrame:
     df = tf.groupBy("word").agg(F.count("*").alias("df")).hint("rebalance")
     n = docs.count()
     weighted = tf.join(df, "word").withColumn("weight", F.col("tf") * (F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1))
-    rank = F.row_number().over(Window.partitionBy(id_).orderBy(F.desc("weight"), "word"))
+    rank = F.row_number().over(Window.partitionBy(id_).orderBy(F.round("weight", 9).desc(), "word"))
     return weighted.withColumn("rank", rank).where(F.col("rank") <= k).select(id_, "rank", "word", "weight")
 
 

@@ -10,6 +10,7 @@ from cairn.functions import partitioning
 from cairn.operators import changelog, mutate
 from cairn.plans.registry import query
 from cairn.session import table, work_dir
+from cairn.sources import changelog_source
 from cairn.sources.keyed_table import KeyedTable
 from cairn.streaming import sinks
 
@@ -30,7 +31,7 @@ def _log(spark, d, deletes=False, partial=True):
     out = o.select(
         (F.col("o_custkey") + 50).alias("k"), F.col("o_orderkey").alias("_seq"), F.when(F.col("o_orderpriority").startswith("1"), "delete").otherwise("put").alias("_op"),
         F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("v"), status.alias("seg"), *([sets.alias("_set")] if partial else []))
-    return out if deletes else out.withColumn("_op", F.lit("put"))
+    return out if deletes else out.drop("_op")
 
 
 @query(f"""WITH {_BASE}, {_CHG}, last AS (SELECT k, arg_max(struct_pack(name := CASE WHEN s_name THEN name END, v := CASE WHEN s_v THEN v END, seg := CASE WHEN s_seg THEN seg END), _seq) AS r FROM chg GROUP BY k)
@@ -145,7 +146,10 @@ def cdc_diff(spark, d):
     return _change_log(spark, d)
 
 
-@query("""SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus FROM orders""")
+_REPLAYED = """SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus FROM orders"""
+
+
+@query(_REPLAYED)
 def cdc_replay(spark, d):
     return changelog.replay(_snapshots(spark, d)[0], _change_log(spark, d), ["o_orderkey"])
 
@@ -175,9 +179,9 @@ def cdc_dynamic_partition(spark, d):
     return changelog.open_partitions(log, partitioning.start(day, "DAY"), partitioning.stop(day, "DAY"), 3600).select("event_id")
 
 
-@query()
+@query(_REPLAYED)
 def stream_upsert_sink(spark, d):
-    """A change stream merged into a keyed table, read back; the tests hold it against ``cdc_replay``."""
+    """A change stream merged into a keyed table, read back."""
     folder = work_dir(spark, "upsert")
     _change_log(spark, d).coalesce(4).write.parquet(f"{folder}/log")
     target = KeyedTable(spark, f"{folder}/table", ["o_orderkey"], buckets=8)
@@ -186,3 +190,21 @@ def stream_upsert_sink(spark, d):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
     sinks.upsert(stream, target, f"{folder}/checkpoint", ignore_delete=False).awaitTermination()
     return target.read()
+
+
+@query(f"WITH {_DIFF} SELECT _shard, _lsn, _event_type, _ts_us, o_orderkey, o_custkey FROM log WHERE _shard <> 1 OR _lsn > 100")
+def cdc_subscribe(spark, d):
+    """A stored change log read from the record after an offset."""
+    path = f"{work_dir(spark, 'log')}"
+    changelog_source.write_changelog(_change_log(spark, d), path)
+    return changelog_source.subscribe(spark, path, {1: 100}, streaming=False).select("_shard", "_lsn", "_event_type", "_ts_us", "o_orderkey", "o_custkey")
+
+
+@query("""WITH log AS (SELECT CAST(user_id % 4 AS INTEGER) AS _shard, epoch_us(ts) AS t, date_trunc('day', ts) + INTERVAL 1 DAY AS e FROM events),
+reached AS (SELECT min(m) AS m FROM (SELECT max(t) AS m FROM log GROUP BY _shard))
+SELECT DISTINCT CAST(e AS DATE) AS ended FROM log, reached WHERE m >= epoch_us(e) + 3600000000""")
+def cdc_closed_partitions(spark, d):
+    """Day partitions that all shards have closed."""
+    log = table(spark, d, "events").select(F.pmod("user_id", F.lit(4)).cast("int").alias("_shard"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"), "ts")
+    ends = partitioning.stop(partitioning.suffix(F.col("ts"), "DAY"), "DAY")
+    return changelog.closed_partitions(log, ends, 3600).select(F.col("partition_end").cast("date").alias("ended"))

@@ -1,24 +1,59 @@
 """Queries on value conversion, sharding, partitioning and import or export."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import convert, partitioning, sharding
+from cairn.functions import convert, partitioning, sharding, text
 from cairn.plans.registry import query
 from cairn.schema import ColumnDef, TableDef, widen
 from cairn.session import table, work_dir
-from cairn.sources import csvio, messages
-
-
-@query()
+from cairn.sources import catalog, csvio, loader, messages
+from cairn.sources.keyed_table import KeyedTable
+from cairn.streaming import sinks, windows
+
+
+def _hashed(source, columns, texts):
+    """SQL of a CTE ``h``: the columns and the low 16 bits of the hash of texts, in integers of 32 bits."""
+    full = 4294967295
+    mixed = f"list_transform(list_transform(list_transform({{}}, lambda k: (k * 3432918353) & {full}), lambda k: ((k << 15) | (k >> 17)) & {full}), lambda k: (k * 461845907) & {full})"
+    byte = lambda t, at, j: f"CAST(ascii(substr({t}, {at} + {j + 1}, 1)) AS UBIGINT) * {256 ** j}"
+    out, steps = [], []
+    for i, t in enumerate(texts):
+        blocks = f"list_transform(range(0, length({t}) // 4), lambda i: {' + '.join(byte(t, '4 * i', j) for j in range(4))})"
+        rest = " + ".join(f"CASE WHEN length({t}) % 4 > {j} THEN {byte(t, f'length({t}) // 4 * 4', j)} ELSE CAST(0 AS UBIGINT) END" for j in range(3))
+        steps.append(f"list_reduce(list_prepend(CAST(104729 AS UBIGINT), {mixed.format(blocks)}), lambda h, k: ((((xor(h, k) << 13) | (xor(h, k) >> 19)) & {full}) * 5 + 3864292196) & {full}) AS a{i}, {mixed.format(f'[{rest}]')}[1] AS r{i}, CAST(length({t}) AS UBIGINT) AS n{i}")
+        out.append(i)
+    each = lambda f: ", ".join(f(i) for i in out)
+    cols = ", ".join(columns)
+    return f"""h0 AS (SELECT {cols}, {', '.join(steps)} FROM {source}), h1 AS (SELECT {cols}, {each(lambda i: f'xor(xor(a{i}, r{i}), n{i}) AS h{i}')} FROM h0),
+h2 AS (SELECT {cols}, {each(lambda i: f'(xor(h{i}, h{i} >> 16) * 2246822507) & {full} AS h{i}')} FROM h1), h3 AS (SELECT {cols}, {each(lambda i: f'(xor(h{i}, h{i} >> 13) * 3266489909) & {full} AS h{i}')} FROM h2),
+h AS (SELECT {cols}, CAST({reduce(lambda a, b: f'xor({a}, {b})', [f'xor(h{i}, h{i} >> 16)' for i in out])} AS BIGINT) & 65535 AS place FROM h3)"""
+
+
+_SHARD = "CAST(CASE WHEN place < 26224 THEN place // 1639 ELSE 16 + (place - 26224) // 1638 END AS INTEGER)"
+_LINES = _hashed("(SELECT CAST(l_orderkey AS VARCHAR) AS t, CAST(l_linenumber AS VARCHAR) AS u FROM lineitem)", ["t"], ["t", "u"])
+
+
+@query(f"""WITH {_hashed("(SELECT *, CAST(o_orderkey AS VARCHAR) AS t FROM orders)", ["o_orderkey", "o_custkey"], ["t"])}
+SELECT o_orderkey, o_custkey, {_SHARD} AS _shard FROM h""")
 def shard_assign(spark, d):
     return sharding.with_shard(table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 40)
 
 
-@query()
+@query(f"WITH {_LINES} SELECT {_SHARD} AS _shard, count(*) AS n FROM h GROUP BY 1")
 def shard_counts(spark, d):
     return sharding.with_shard(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 40).groupBy("_shard").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {_LINES} SELECT {_SHARD} AS _shard, count(*) AS n, CAST(1 AS BIGINT) AS parts FROM h GROUP BY 1")
+def shard_deal(spark, d):
+    """Rows dealt to writers by shard: every shard lies in one partition."""
+    dealt = sharding.by_shard(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 40, 7)
+    return dealt.withColumn("p", F.spark_partition_id()).groupBy("_shard").agg(F.count("*").alias("n"), F.count_distinct("p").alias("parts"))
+
+
 def _suffixes(spark, d, unit):
     return table(spark, d, "orders").select("o_orderkey", partitioning.suffix(F.col("o_orderdate"), unit).alias("part"))
 
@@ -86,8 +121,8 @@ def epoch_ms_convert(spark, d):
 
 @query("""SELECT event_id, CASE WHEN event_type = 'click' THEN TIMESTAMP '1970-01-01' WHEN event_type = 'view' THEN NULL ELSE date_trunc('second', ts) END AS at FROM events""")
 def timestamp_parse(spark, d):
-    text = F.when(F.col("event_type") == "click", F.lit(convert.ZERO_DATE)).when(F.col("event_type") == "view", F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return table(spark, d, "events").select("event_id", convert.parse_timestamp(text).cast("timestamp_ntz").alias("at"))
+    shown = F.when(F.col("event_type") == "click", F.lit(convert.ZERO_DATE)).when(F.col("event_type") == "view", F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return table(spark, d, "events").select("event_id", convert.parse_timestamp(shown).cast("timestamp_ntz").alias("at"))
 
 
 @query("""SELECT event_type, count(*) FILTER (WHERE event_type <> 'click') AS good, count(*) FILTER (WHERE event_type = 'click') AS bad FROM events GROUP BY event_type""")
@@ -122,9 +157,92 @@ def kafka_json_decode(spark, d):
     return messages.decode(records, T.StructType([T.StructField("k", T.LongType())]), meta={"offset": "event_id"}).where("NOT _bad").select("event_id", "k")
 
 
-@query("SELECT event_type AS target, count(*) AS n, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY event_type")
+@query("SELECT event_type AS target, count(*) AS n, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k FROM events WHERE event_type IS NOT NULL GROUP BY event_type")
 def multi_table_route(spark, d):
-    """Each event goes to the table of its type."""
-    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
-    routed = partitioning.route(e, "t", F.col("event_type"))
-    return routed.groupBy(F.substring("_child", 3, 1000).alias("target")).agg(F.count("*").alias("n"), F.sum("k").alias("k"))
+    """A stream whose rows go to the keyed table of their type, read back."""
+    folder = work_dir(spark, "route")
+    e = table(spark, d, "events").where("event_type IS NOT NULL").select("event_id", F.col("event_type").alias("tablename"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+    e.repartition(2).write.parquet(f"{folder}/rows")
+    targets = {r[0]: KeyedTable(spark, f"{folder}/t{i}", ["event_id"], 4) for i, r in enumerate(e.select("tablename").distinct().collect())}  # a row a table
+    for t in targets.values():
+        t.create(e.select("event_id", "k").limit(0))
+    stream = spark.readStream.schema(e.schema).parquet(f"{folder}/rows")
+    sinks.route_stream(stream, targets, f"{folder}/checkpoint", lambda rows: rows.withColumn("_seq", F.col("event_id"))).awaitTermination()
+    read = [t.read().select(F.lit(name).alias("target"), "k") for name, t in targets.items()]
+    return reduce(DataFrame.unionByName, read).groupBy("target").agg(F.count("*").alias("n"), F.sum("k").alias("k"))
+
+
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv FROM events GROUP BY ALL")
+def uv_stream(spark, d):
+    """Distinct users of an hour from a stream with a watermark, its updates merged into a keyed table of bitmaps."""
+    folder = work_dir(spark, "uv")
+    e = table(spark, d, "events").select("event_type", "ts", "user_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    e.write.parquet(f"{folder}/events")
+    made = lambda rows: windows.window_bitmaps(rows, "ts", "user_id", ["event_type"], 3600)
+    target = KeyedTable(spark, f"{folder}/table", ["event_type", "window_end", "bucket"], 8)
+    target.create(made(e.limit(0)))
+    sinks.upsert_rows(made(spark.readStream.schema(e.schema).parquet(f"{folder}/events")), target, f"{folder}/checkpoint", "bucket").awaitTermination()
+    return target.read().groupBy("event_type", F.col("window_end").cast("timestamp_ntz").alias("window_end")).agg(F.sum(F.bitmap_count("bitmap")).alias("uv"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS seg, CAST(c_custkey * 86400 AS BIGINT) AS seconds FROM customer")
+def load_rows(spark, d):
+    """Foreign rows, all text, mapped to a table's types and merged; the second row of a key replaces the first."""
+    c = table(spark, d, "customer")
+    text = c.select(F.col("c_custkey").cast("string"), F.concat("c_name", F.lit("\x00")), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).otherwise(""), F.date_format(F.timestamp_seconds(F.col("c_custkey") * 86400), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    shape = TableDef("t", [ColumnDef("id", "bigint", False), ColumnDef("name", "text"), ColumnDef("seg", "text"), ColumnDef("at", "timestamptz")], ["id"])
+    target = KeyedTable(spark, work_dir(spark, "load"), ["id"], 8)
+    target.create(spark.createDataFrame([], shape.schema()))
+    older = text.withColumn(text.columns[1], F.lit("old"))
+    loader.load(older, target, shape)
+    loader.load(text, target, shape)
+    return target.read().select("id", "name", "seg", F.unix_seconds("at").alias("seconds"))
+
+
+@query("SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def ship_database(spark, d):
+    """Two tables and a view exported, imported elsewhere, and the view read."""
+    path = work_dir(spark, "ship")
+    view = "SELECT n_name, count(*) AS n FROM shipped_customer JOIN shipped_nation ON c_nationkey = n_nationkey GROUP BY n_name"
+    catalog.export_database(spark, {"shipped_customer": table(spark, d, "customer"), "shipped_nation": table(spark, d, "nation")}, path, {"shipped_view": view})
+    catalog.import_database(spark, path)
+    return spark.table("shipped_view")
+
+
+@query("""SELECT o_orderstatus AS object, o_orderpriority AS grantee, string_agg(DISTINCT 'p' || (o_custkey % 5), ',' ORDER BY 'p' || (o_custkey % 5)) AS privileges FROM orders GROUP BY ALL""")
+def privilege_rollup(spark, d):
+    grants = table(spark, d, "orders").select(F.col("o_orderstatus").alias("object"), F.col("o_orderpriority").alias("grantee"), F.concat(F.lit("p"), (F.col("o_custkey") % 5).cast("string")).alias("privilege"))
+    return catalog.privileges(grants)
+
+
+@query("SELECT event_id, epoch_us(date_trunc('second', ts)) AS iso, epoch_us(date_trunc('second', ts)) - 7200000000 AS shifted FROM events")
+def offset_times(spark, d):
+    """Start times of a subscription, in ISO form and with an offset."""
+    at = F.col("ts").cast("timestamp")
+    return table(spark, d, "events").select(
+        "event_id", convert.offset_micros(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("iso"), convert.offset_micros(F.concat(F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00"))).alias("shifted"))
+
+
+@query("SELECT c_custkey, rpad(c_name, 24, ' ') AS padded, substring(c_name, 1, 12) AS short FROM customer")
+def char_lengths(spark, d):
+    return table(spark, d, "customer").select("c_custkey", convert.fit_length(F.col("c_name"), "char", 24).alias("padded"), convert.fit_length(F.col("c_name"), "varchar", 12).alias("short"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE [c_custkey, c_nationkey] END AS ids FROM customer")
+def array_values(spark, d):
+    """Delimited text to an array of numbers, elements that are none left out."""
+    text = F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.concat_ws("|", F.col("c_custkey").cast("string"), F.lit("none"), F.col("c_nationkey").cast("string")))
+    return table(spark, d, "customer").select("c_custkey", convert.compact(convert.split_array(text, "|", "bigint")).alias("ids"))
+
+
+@query("""SELECT o_orderkey, '{"a":' || o_custkey || ',"b":"' || o_orderstatus || '"}' AS doc FROM orders""")
+def json_normal_form(spark, d):
+    loose = F.concat(F.lit('{ "b" : "'), "o_orderstatus", F.lit('",  "a": '), F.col("o_custkey").cast("string"), F.lit(" }"))
+    return table(spark, d, "orders").select("o_orderkey", convert.normalise_json(loose).alias("doc"))
+
+
+@query("SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer")
+def with_options(spark, d):
+    clause = F.concat(F.lit("CREATE TABLE t (x int) WITH ('name' = 'first', 'nation'='"), F.col("c_nationkey").cast("string"), F.lit("', 'name' = '"), "c_name", F.lit("')"))
+    found = text.options(clause)
+    return table(spark, d, "customer").select("c_custkey", found["name"].alias("name"), found["nation"].alias("nation"))
