@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from cairn.schema import TableDef
+
 #: Seed of the hash and number of ranges.
 SEED, RANGE = 104729, 65536
 
@@ -123,6 +125,12 @@ def record_hash(df: DataFrame, key: Sequence[str]) -> Column:
     return out
 
 
+def hash_columns(table: TableDef) -> list[str]:
+    """The columns whose values place a table's row: its distribution key, else its primary key, without generated columns."""
+    generated = {c.name for c in table.columns if c.generated}
+    return [k for k in table.distribution_key or table.primary_key if k not in generated]
+
+
 def shard_of(hash_: Column, shards: int) -> Column:
     """Shard of a hash: 65,536 ranges dealt evenly, the first ones a range longer if they don't divide."""
     base, longer = divmod(RANGE, shards)

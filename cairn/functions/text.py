@@ -17,8 +17,8 @@ def chunks(docs: DataFrame, id_: str, text: str, size: int = 1000, overlap: int
         id_, "chunk_no", (F.col("chunk_no") * step).alias("begin"), F.substr(F.col("_t"), (F.col("chunk_no") * step + 1).cast("int"), F.lit(size)).alias("chunk"))
 
 
-#: Sentence ends, marks that may follow them, and ellipses.
-_ENDS, _CLOSERS = "。！？!?;；.", "\"'’”」』"
+#: Marks that may follow a sentence's end.
+_CLOSERS = "\"'’”」』"
 
 
 def sentences(text: Column, drop_spaces: bool = False) -> Column:

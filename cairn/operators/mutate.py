@@ -140,6 +140,13 @@ def expression_upsert(
         raise ValueError(f"not assignable: {missing}")
     changes = _ready(changes)
     values = [c for c in base.columns if c not in key]
+    if missing := [k for k in key if k not in changes.columns]:
+        raise ValueError(f"key columns without a value: {missing}")
+    if unset := [v for v in values if v not in changes.columns]:
+        if needed := [v for v in unset if set_ and v in set_ and "excluded." in set_[v]]:
+            raise ValueError(f"assigned from the put, which does not set them: {needed}")
+        changes = changes.withColumns({v: F.lit(None).cast(base.schema[v].dataType) for v in unset})
+        set_ = set_ if set_ is not None else {v: f"excluded.{_tick(v)}" for v in values if v not in unset}
     kind = {v: base.schema[v].dataType.simpleString() for v in values}
     assign = set_ if set_ is not None else {v: f"excluded.{_tick(v)}" for v in values}
     holds = f"coalesce({where}, false)" if where else "true"
@@ -193,6 +200,10 @@ def check_and_put(
         raise ValueError(f"no such operator: {operator}")
     if column not in base.columns:
         raise ValueError(f"no such column: {column}")
+    if value is None and operator not in ("is_null", "is_not_null") and column not in changes.columns:
+        raise ValueError(f"the checked column {column} is not set")
+    if missing := [c for c in base.columns if c not in changes.columns and c not in key]:
+        changes = changes.withColumns({c: F.lit(None).cast(base.schema[c].dataType) for c in missing})
     old = f"old.{_tick(column)}"
     if operator in ("is_null", "is_not_null"):
         return expression_upsert(base, changes, key, where=f"{old} {OPERATORS[operator]}")

@@ -87,8 +87,3 @@ def query(spark: SparkSession, text: str, columns: Sequence[str] | None = None)
     """A query as a source, projected."""
     found = spark.sql(text)
     return found if columns is None else found.select(*columns)
-
-
-def write_mode(has_key: bool, bulk_on_conflict: bool = True) -> str:
-    """How a write is carried out: keyed merge, or plain append where there is no key."""
-    return ("merge" if bulk_on_conflict else "stream") if has_key else "append"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.schema import TableDef
+from cairn.session import remove_dir
 
 
 def namespaces(spark: SparkSession) -> list[str]:
@@ -23,12 +25,25 @@ def create_table(spark: SparkSession, table: TableDef, using: str = "parquet") -
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:
-    """Load a new table beside the old one, then put it in its place."""
-    spark, draft = df.sparkSession, f"{name}__draft"
-    spark.sql(f"DROP TABLE IF EXISTS {draft}")
-    df.write.saveAsTable(draft)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
+    """Write the rows to a folder of their own, then let the table point to it: readers see the old rows or the new ones.
+
+    Only where the columns change is the table made anew.
+    """
+    spark = df.sparkSession
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name.rpartition('.')[2]}__{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    create = f"CREATE TABLE {name} USING parquet LOCATION '{folder}'"
+    if not spark.catalog.tableExists(name):
+        spark.sql(create)
+        return
+    old = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    if [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(create)
+    remove_dir(spark, old)
 
 
 def partition_map(spark: SparkSession, name: str) -> DataFrame:

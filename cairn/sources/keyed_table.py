@@ -4,7 +4,8 @@ Rows lie in hash buckets of the key. A merge reads and rewrites only the buckets
 that its changes touch, by dynamic partition overwrite, so a task that runs again
 or a batch that is applied twice gives the same table. The number of buckets is
 fixed when the table is created, by its rows unless it is named, and stored beside
-the rows; every other object for the same path takes it from there.
+the rows with the table's columns; every other object for the same path takes them
+from there. Columns can be added later; rows written before have nulls there.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.operators import mutate
 from cairn.schema import TableDef
@@ -28,19 +30,37 @@ class KeyedTable:
         """``buckets``: for ``create``; where the table exists it must be that of the table, or None."""
         self.spark, self.path, self.key, self._asked, self._stored_buckets = spark, path, list(key), buckets, None
 
+    def _layout(self) -> dict:
+        try:
+            return json.loads(self.spark.read.text(f"{self.path}/_layout", wholetext=True).first()[0])
+        except AnalysisException as error:
+            raise ValueError(f"no keyed table at {self.path}") from error
+
     @property
     def buckets(self) -> int:
         """The number of buckets that the table was created with."""
         if self._stored_buckets is None:
-            try:
-                found = json.loads(self.spark.read.text(f"{self.path}/_layout", wholetext=True).first()[0])["buckets"]
-            except AnalysisException as error:
-                raise ValueError(f"no keyed table at {self.path}") from error
+            found = self._layout()["buckets"]
             if self._asked not in (None, found):
                 raise ValueError(f"the table at {self.path} has {found} buckets, not {self._asked}")
             self._stored_buckets = found
         return self._stored_buckets
 
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(self._layout()["schema"])
+
+    def add_columns(self, columns: Sequence[T.StructField]) -> None:
+        """Add columns that the table lacks; a column of the same name and another type is an error."""
+        known = self.schema()
+        types = {f.name: f.dataType for f in known}
+        if other := [f.name for f in columns if types.get(f.name, f.dataType) != f.dataType]:
+            raise ValueError(f"columns of another type: {other}")
+        if new := [T.StructField(f.name, f.dataType) for f in columns if f.name not in types]:
+            self._write_layout(T.StructType([*known, *new]))
+
+    def _write_layout(self, schema: T.StructType) -> None:
+        self._beside("_layout", json.dumps({"buckets": self.buckets, "key": self.key, "schema": json.loads(schema.json())}))
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
@@ -58,7 +78,7 @@ class KeyedTable:
         """Write the table anew, and its layout and definition beside it."""
         self._stored_buckets = self._asked or max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
         self._write(rows, range(self._stored_buckets), "static")
-        self._beside("_layout", json.dumps({"buckets": self._stored_buckets, "key": self.key}))
+        self._write_layout(T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]))
         if definition:
             self._beside("_definition", definition.to_json())
 
@@ -66,7 +86,8 @@ class KeyedTable:
         return TableDef.from_json(self.spark.read.text(f"{self.path}/_definition", wholetext=True).first()[0])
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).where("_alive").drop("_alive")
+        stored = T.StructType([*self.schema(), T.StructField("_alive", T.BooleanType()), T.StructField("_bucket", T.IntegerType())])
+        return self.spark.read.schema(stored).parquet(self.path).where("_alive").drop("_alive")
 
     def read(self) -> DataFrame:
         return self._stored().drop("_bucket")
@@ -76,8 +97,10 @@ class KeyedTable:
 
         return get(self.read(), keys, self.key, columns)
 
-    def merge(self, changes: DataFrame, **how) -> None:
-        """Apply a log of changes, as ``mutate.apply_mutations`` does."""
+    def merge(self, changes: DataFrame, evolve: bool = False, **how) -> None:
+        """Apply a log of changes, as ``mutate.apply_mutations`` does; with ``evolve`` new columns of the log are added to the table."""
+        if evolve:
+            self.add_columns([f for f in changes.schema if f.name not in ("_seq", "_op", "_set")])
         self._rewrite(changes, lambda base: mutate.apply_mutations(base, changes, self.key, **how))
 
     def check_and_put(self, changes: DataFrame, column: str, operator: str, value: str | None = None, null_as: str | None = None) -> None:

@@ -5,7 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import lookup, ranges
+from cairn.functions import sharding
+from cairn.operators import lookup, mutate, ranges, retrieval
+from cairn.schema import ColumnDef, TableDef
+from cairn.sources import catalog, loader
 from cairn.sources.keyed_table import KeyedTable
 
 
@@ -59,3 +62,61 @@ def test_an_open_table_keeps_its_buckets(spark, tmp_path):
         KeyedTable(spark, str(tmp_path / "none"), ["id"]).merge(rows.withColumn("_seq", F.col("id")))
     again.create(rows.limit(3))
     assert again.read().count() == 3 and KeyedTable(spark, str(tmp_path / "t"), ["id"]).buckets == 64
+
+
+def test_columns_added_in_mid_stream(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=2)
+    table.create(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    table.merge(spark.createDataFrame([(2, "c", 5, 1), (3, "d", None, 1)], "id long, v string, n int, _seq long"), evolve=True)
+    assert sorted(map(tuple, KeyedTable(spark, str(tmp_path / "t"), ["id"]).read().collect())) == [(1, "a", None), (2, "c", 5), (3, "d", None)]
+    with pytest.raises(ValueError, match="another type"):
+        table.merge(spark.createDataFrame([(2, "x", 1)], "id long, n string, _seq long"), evolve=True)
+
+
+def test_dirty_rows_of_a_load(spark, tmp_path):
+    shape = TableDef("t", [ColumnDef("id", "bigint", False), ColumnDef("n", "int")], ["id"])
+    source = spark.createDataFrame([("1", "5"), ("2", "five"), ("3", "")], "a string, b string")
+    for policy, left in ((loader.NULL, [(1, 5), (2, None), (3, None)]), (loader.SKIP, [(1, 5), (3, None)])):
+        table = KeyedTable(spark, str(tmp_path / policy), ["id"], buckets=2)
+        table.create(spark.createDataFrame([], shape.schema()))
+        bad = loader.load(source, table, shape, dirty=policy)
+        assert sorted(map(tuple, table.read().collect())) == left and [(r["id"], r["_problems"]) for r in bad.collect()] == [(2, ["n"])]
+    with pytest.raises(Exception, match="dirty row: n"):
+        loader.load(source, table, shape, dirty=loader.EXCEPTION)
+
+
+def test_conditional_puts_equal_the_fold(spark):
+    rng = random.Random(12)
+    base = spark.createDataFrame([(k, None if k % 4 == 0 else rng.randint(0, 9), f"b{k}") for k in range(20)], "k long, v int, s string")
+    log = [(rng.randrange(30), i, rng.choice([None, *range(12)]), f"c{i}") for i in range(300)]
+    changes = spark.createDataFrame(log, "k long, _seq long, v int, s string").repartition(5)
+    for operator in ("greater", "less"):
+        for null_as in (None, "5"):
+            fast = mutate.check_and_put(base, changes, ["k"], "v", operator, null_as=null_as)
+            slow = mutate.check_and_put(base, changes.withColumn("_op", F.lit("put")), ["k"], "v", operator, null_as=null_as)
+            assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    with pytest.raises(ValueError, match="not set"):
+        mutate.check_and_put(base, changes.drop("v"), ["k"], "v", "greater")
+
+
+def test_generated_columns_do_not_place_a_row():
+    table = TableDef("t", [ColumnDef("a", "int", False), ColumnDef("b", "int", False, generated=True)], ["a", "b"])
+    assert sharding.hash_columns(table) == ["a"]
+
+
+def test_overwrite_replaces_rows_and_columns(spark):
+    spark.sql("DROP TABLE IF EXISTS over_u")
+    for rows in (spark.range(3), spark.range(9), spark.range(2).withColumn("x", F.lit("a"))):
+        catalog.overwrite_table(rows, "over_u")
+        assert spark.table("over_u").count() == rows.count() and spark.table("over_u").columns == rows.columns
+    catalog.overwrite_table(spark.table("over_u").where("id > 0"), "over_u")
+    assert spark.table("over_u").count() == 1
+
+
+def test_blocks_of_queries(spark):
+    v = spark.createDataFrame([(i, [1000.0 + i * 1e-4, 1000.0]) for i in range(60)], "vec_id long, embedding array<double>").repartition(3)
+    got = retrieval.nearest_for(v.where("vec_id % 5 = 0"), v, 3, block=4).collect()
+    assert len(got) == 36
+    for q in range(0, 60, 5):
+        near = sorted(range(60), key=lambda i: (((1000.0 + i * 1e-4) - (1000.0 + q * 1e-4)) ** 2, i))[:3]
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == near
