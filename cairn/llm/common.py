@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from cairn.session import shared_root
 
 #: Bytes of an Arrow batch: whole texts can be long, so batches are bounded by size.
 ARROW_BYTES = 16 << 20
+#: Bits of a Bloom filter for each row key, and powers of two that bound its size: 128 KB to 32 MB.
+FILTER_SHARE, FILTER_LEAST, FILTER_MOST = 16, 20, 28
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -73,6 +76,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(begin)
 
 
+def bitmap_of(places: DataFrame, bits: int) -> np.ndarray:
+    """2 ** bits bits, packed from the lowest on, of which those at the values of ``place`` (from 0) are set; made on the executors."""
+    at = F.col("place") + 1
+    maps = places.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    held = np.zeros(1 << bits >> 3, np.uint8)
+    for r in maps:
+        at = (r["bucket"] - 1) * 4096
+        held[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)[: len(held) - at]
+    return held
+
+
 def row_key(text: Column) -> Column:
     """SHA-256 of a text's bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256))
@@ -87,10 +101,40 @@ def _named(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, Column]:
     return named, docs["doc_id"].cast("long").eqNullSafe(named[id_name]) & (row_key(docs["text"]) == named[key_name])
 
 
+def may_be_among(own: Column, keys: DataFrame) -> Column:
+    """True for each row key that is among the ``own`` of ``keys``, which should be stored, and for few others.
+
+    A Bloom filter of the four words of each key; only the keys pass through Python. Once its bound is reached it
+    lets more through, which the join behind it drops.
+    """
+    bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_SHARE * keys.count()).bit_length()))
+
+    def places(own: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(own.to_pylist()), ">u8").astype(np.uint64) >> np.uint64(64 - bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(places(batch.column("own")).astype(np.int64))], names=["place"])
+
+    held = keys.sparkSession.sparkContext.broadcast(bitmap_of(keys.select("own").mapInArrow(work, "place long"), bits))
+
+    def passes(own: pa.Array) -> pa.Array:
+        at = places(own)
+        found = held.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)
+        return pa.array(found.reshape(-1, 4).all(axis=1))
+
+    return F.arrow_udf(passes, "boolean")(own)
+
+
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key."""
+    """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key.
+
+    Only documents that may be among them are shuffled; the rest stay where they are.
+    """
+    gone = stored(gone.select("doc_id", "own"), f"{shared_dir(docs.sparkSession)}/gone-{uuid.uuid4().hex}")
     named, match = _named(gone, docs)
-    return docs.join(named, match, "left_anti")
+    maybe = may_be_among(row_key(F.col("text")), gone)
+    return docs.where(~maybe).union(docs.where(maybe).join(named, match, "left_anti"))
 
 
 def one_of_each(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -104,5 +148,6 @@ def one_of_each(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFr
     key, taken = "key", {c.lower() for c in docs.columns}
     while key in taken:
         key += "_"
-    ones = docs.join(named, match, "left_semi").withColumn(key, F.struct(F.col("doc_id").cast("long"), row_key(F.col("text")))).dropDuplicates([key]).drop(key)
+    ones = docs.where(may_be_among(row_key(F.col("text")), repeated)).join(named, match, "left_semi")
+    ones = ones.withColumn(key, F.struct(F.col("doc_id").cast("long"), row_key(F.col("text")))).dropDuplicates([key]).drop(key)
     return without_rows(docs, gone.select("doc_id", "own").unionByName(repeated.select("doc_id", "own"))).unionByName(ones)

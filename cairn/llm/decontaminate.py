@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, session_of, shared_dir, slices, without_rows
+from cairn.llm.common import as_bytes, bitmap_of, session_of, shared_dir, slices, without_rows
 
 MASKS = ("11101011", "11001111")
 OVERLAP_WORDS = 13
@@ -192,14 +192,9 @@ def _filter(item_seeds: DataFrame) -> tuple[int, Broadcast]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seed = batch.column("seed").to_numpy().astype(np.int64).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_place(seed, k, bits) for k in range(FILTER_PLACES)]).astype(np.int64) + 1)], names=["place"])
-
-    places = item_seeds.select("seed").mapInArrow(work, "place long")
-    maps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
-    held = np.zeros(1 << bits >> 3, np.uint8)
-    for r in maps:
-        at = (r["bucket"] - 1) * 4096
-        held[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)[: len(held) - at]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_place(seed, k, bits) for k in range(FILTER_PLACES)]).astype(np.int64))], names=["place"])
+
+    held = bitmap_of(item_seeds.select("seed").mapInArrow(work, "place long"), bits)
     return bits, item_seeds.sparkSession.sparkContext.broadcast(held)
 
 
