@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +101,10 @@ def _named(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, Column]:
     return named, docs["doc_id"].cast("long").eqNullSafe(named[id_name]) & (row_key(docs["text"]) == named[key_name])
 
 
-def may_be_among(own: Column, keys: DataFrame) -> Column:
-    """True for each row key that is among the ``own`` of ``keys``, which should be stored, and for few others.
+def key_test(keys: DataFrame) -> Callable[[pa.Array], pa.Array]:
+    """A test, for use in tasks: true for each row key among the ``own`` of ``keys``, which should be stored, and for few others.
 
-    A Bloom filter of the four words of each key; only the keys pass through Python. Once its bound is reached it
-    lets more through, which the join behind it drops.
+    A Bloom filter of the four words of each key. Once its bound is reached it lets more through, which the join behind it drops.
     """
     bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_SHARE * keys.count()).bit_length()))
 
@@ -123,7 +122,12 @@ def may_be_among(own: Column, keys: DataFrame) -> Column:
         found = held.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)
         return pa.array(found.reshape(-1, 4).all(axis=1))
 
-    return F.arrow_udf(passes, "boolean")(own)
+    return passes
+
+
+def may_be_among(own: Column, keys: DataFrame) -> Column:
+    """``key_test`` as a column; only the keys pass through Python."""
+    return F.arrow_udf(key_test(keys), "boolean")(own)
 
 
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:

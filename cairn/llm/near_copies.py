@@ -12,9 +12,8 @@ probability 3e-6, one at 0.9 with 4e-12. Nodes of a band are compared by 96 samp
 of 4 bits, at a bound that a pair at 0.8 misses with probability 1e-7. Links are
 folded to stars, so what leaves a task grows with the nodes and not with the pairs.
 The groups found hold every pair to be tested; in each the real sets are compared,
-and only pairs at 0.8 or more are links. A Bloom filter of bounded size keeps most
-texts without a candidate out of the shuffle that fetches the sets; what it lets
-through beside them the join drops.
+and only pairs at 0.8 or more are links. Sets are built of the texts that a Bloom
+filter of bounded size lets through; those without a candidate the join drops.
 
 Groups above a bound, of a band or of sets, are cut into blocks and each pair of
 blocks is compared in a group of its own; nothing is capped. Near copies of near
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_bytes, may_be_among, one_of_each, row_key, session_of, shared_dir, slices, stored
+from cairn.llm.common import as_bytes, key_test, one_of_each, row_key, session_of, shared_dir, slices, stored
 from cairn.llm.components import components
 from cairn.llm.simhash import _fold, _shingle_hashes, majority, near_links
 from cairn.session import remove_dir
@@ -139,10 +138,17 @@ def _in_blocks(rows: DataFrame, weight, limit: int) -> DataFrame:
     return dealt.select(F.when(F.col("blocks") == 1, F.col("g")).otherwise(pair).alias("g"), *rest)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        found = [shingle_set(raw.lower().split()).tobytes() for raw in as_bytes(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("node"), pa.array(found, pa.binary())], names=["g", "node", "found"])
+def _sets(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, own, found): the shingle sets of the texts whose ``own`` is among the ``keys``, and of few others."""
+    passes = key_test(keys)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            batch = batch.filter(passes(batch.column("own")))
+            found = [shingle_set(raw.lower().split()).tobytes() for raw in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("own"), pa.array(found, pa.binary())], names=["doc_id", "own", "found"])
+
+    return texts.mapInArrow(work, "doc_id long, own binary, found binary")
 
 
 def linked(sets: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -222,8 +228,8 @@ def verdicts(docs: DataFrame, folder: str, band_nodes: int = BAND_NODES, set_byt
     members = nodes.join(groups, "node").select(F.col("root").alias("g"), "node", "n", F.col("least.doc_id").alias("at_id"), F.col("least.own").alias("at_own"))
     members = stored(_in_blocks(members, F.col("n") * 8, set_bytes), folder)
     chosen = members.select("node", "at_id", "at_own").distinct()
-    text_of = texts.where(may_be_among(F.col("own"), chosen.select(F.col("at_own").alias("own")))).join(chosen, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("own") == F.col("at_own"))).select(F.col("node").alias("g"), "node", "text")
-    sets = text_of.mapInArrow(_sets, "g long, node long, found binary").select("node", "found").dropDuplicates(["node"])
+    sets = _sets(texts, chosen.select(F.col("at_own").alias("own"))).join(chosen, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("own") == F.col("at_own")))
+    sets = sets.select("node", "found").dropDuplicates(["node"])
     roots = components(_by_group(members.select("g", "node").join(sets, "node"), _compare_sets), folder=folder)
 
     rooted = nodes.join(roots, "node", "left").select("words", "least", F.coalesce("root", "node").alias("root"))
