@@ -130,28 +130,31 @@ def may_be_among(own: Column, keys: DataFrame) -> Column:
     return F.arrow_udf(key_test(keys), "boolean")(own)
 
 
-def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def without_rows(docs: DataFrame, gone: DataFrame, filtered: bool = False) -> DataFrame:
     """The documents that are not among the (doc_id, own) of ``gone``, with all their columns; ``own`` is the row key.
 
-    Only documents that may be among them are shuffled; the rest stay where they are.
+    With ``filtered``, only documents that ``key_test`` lets through are shuffled, for a pass of the keys through Python.
     """
+    if not filtered:
+        named, match = _named(gone, docs)
+        return docs.join(named, match, "left_anti")
     gone = stored(gone.select("doc_id", "own"), f"{shared_dir(docs.sparkSession)}/gone-{uuid.uuid4().hex}")
     named, match = _named(gone, docs)
     maybe = may_be_among(row_key(F.col("text")), gone)
     return docs.where(~maybe).union(docs.where(maybe).join(named, match, "left_anti"))
 
 
-def one_of_each(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, gone: DataFrame, repeated: DataFrame, filtered: bool = False) -> DataFrame:
     """The documents without those of ``gone``, and of those of ``repeated`` (none of them gone) one row each.
 
     Both are (doc_id, own) rows; which of rows with one id and text stays is open.
     """
     if repeated.isEmpty():
-        return without_rows(docs, gone)
+        return without_rows(docs, gone, filtered)
     named, match = _named(repeated, docs)
     key, taken = "key", {c.lower() for c in docs.columns}
     while key in taken:
         key += "_"
-    ones = docs.where(may_be_among(row_key(F.col("text")), repeated)).join(named, match, "left_semi")
+    ones = docs.join(named, match, "left_semi")
     ones = ones.withColumn(key, F.struct(F.col("doc_id").cast("long"), row_key(F.col("text")))).dropDuplicates([key]).drop(key)
-    return without_rows(docs, gone.select("doc_id", "own").unionByName(repeated.select("doc_id", "own"))).unionByName(ones)
+    return without_rows(docs, gone.select("doc_id", "own").unionByName(repeated.select("doc_id", "own")), filtered).unionByName(ones)

@@ -244,4 +244,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     root = f"{shared_dir(docs.sparkSession)}/near-{uuid.uuid4().hex}"
     judged = stored(verdicts(docs, f"{root}/work").where("NOT stay OR n > 1"), root)
     remove_dir(docs.sparkSession, f"{root}/work")
-    return one_of_each(docs, judged.where("NOT stay"), judged.where("stay"))
+    return one_of_each(docs, judged.where("NOT stay"), judged.where("stay"), filtered=True)
