@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cairn.session import shared_root
 
 #: Bytes of an Arrow batch: whole texts can be long, so batches are bounded by size.
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 #: Bits of a Bloom filter for each row key, and powers of two that bound its size: 128 KB to 32 MB.
 FILTER_SHARE, FILTER_LEAST, FILTER_MOST = 16, 20, 28
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
