@@ -43,7 +43,7 @@ BUCKETS = 1 << 17
 LEXICON_LEAST = 3
 SEQUENCE_WORDS, SEQUENCES, BATCH, EPOCHS, RATE, DECAY = 64, 6000, 200, 3, 0.3, 1e-5
 CHUNK = 64
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _BASE, _INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
