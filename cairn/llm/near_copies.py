@@ -152,20 +152,30 @@ def _sets(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def linked(sets: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links that join all sets of a component over pairs of similarity ``least`` or more."""
+    """Links that join all sets of a component over pairs of similarity ``least`` or more.
+
+    The lists of the sets that hold a run keep only sets not yet reached, and are cut anew each time half of those are gone.
+    """
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, column = np.unique(np.concatenate(sets), return_inverse=True) if len(owner) else (None, owner)
+    width = column.max() + 1 if len(owner) else 0
     by_column = np.argsort(column, kind="stable")
-    holders, first = owner[by_column], np.searchsorted(column[by_column], np.arange(column.max() + 2 if len(owner) else 1))
+    holders, held_column = owner[by_column], column[by_column]
+    first = np.searchsorted(held_column, np.arange(width + 1))
     begin = np.concatenate([[0], np.cumsum(sizes)])
-    waiting, links = np.ones(len(sets), bool), []
+    waiting, left, listed, links = np.ones(len(sets), bool), len(sets), len(sets), []
     for seed in range(len(sets)):
         if not waiting[seed]:
             continue
         waiting[seed] = False
+        left -= 1
         front = [seed]
-        while front and waiting.any():
+        while front and left:
+            if 2 * left <= listed:
+                keep = waiting[holders]
+                holders, held_column, listed = holders[keep], held_column[keep], left
+                first = np.searchsorted(held_column, np.arange(width + 1))
             a = front.pop()
             common = np.zeros(len(sets), np.int64)
             mine = column[begin[a] : begin[a + 1]]
@@ -175,6 +185,7 @@ def linked(sets: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int,
             union = sizes + sizes[a] - common
             near = np.nonzero(waiting & (common >= least * union - 1e-9))[0]
             waiting[near] = False
+            left -= len(near)
             links += [(a, int(b)) for b in near]
             front += near.tolist()
     return links

@@ -65,3 +65,35 @@ def test_links_of_real_sets():
 
 def test_empty_table(docs):
     assert x.keep_one(docs([])).collect() == []
+
+
+def test_linked_against_all_pairs():
+    rng = np.random.default_rng(3)
+    bases = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (0, 1, 9, 30)]
+    for _ in range(60):
+        sets = []
+        for _ in range(int(rng.integers(1, 40))):
+            base = bases[rng.integers(len(bases))]
+            kept, more = base[rng.random(len(base)) < rng.choice([0.8, 0.9, 1])], rng.integers(0, 1 << 63, int(rng.integers(0, 4)))
+            sets.append(np.unique(np.concatenate([kept, more.astype(np.uint64)])))
+        pairs = []
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                common = len(np.intersect1d(a, b))
+                if common >= x.SIMILARITY * (len(a) + len(b) - common) - 1e-9:
+                    pairs.append((i, j))
+        assert _roots(len(sets), x.linked(sets)) == _roots(len(sets), pairs)
+
+
+def _roots(n: int, links: list[tuple[int, int]]) -> list[int]:
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return [find(x) for x in range(n)]
