@@ -45,7 +45,7 @@ class Engine:
         return self.spark.sql(text)
 
     def get(self, name: str, keys: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-        return scan.get(self.read(name), keys, self.table(name).primary_key, columns)
+        return self.keyed(name).get(keys, columns)
 
     def scan(self, name: str, equal: dict[str, Any] | None = None, between: dict[str, tuple] | None = None, columns: Sequence[str] | None = None, sort: str | None = "pk", limit: int | None = None) -> DataFrame:
         """``sort``: 'pk', 'clustering' or None."""
