@@ -1,8 +1,8 @@
 """Quality scores: random-indexing word vectors pooled per document, a small network, calibrated by a temperature.
 
-A text is a stream of marks and words: each word in lower case without its edges, the
-punctuation at its edges, whether it is in capitals and whether it repeats the one before.
-Each is one of ``BUCKETS`` by its hash, so every word counts and the vectors have a fixed
+A text is a stream of runs of bytes: words (letters, digits, bytes beyond ASCII, single ' and -
+between them), with ASCII letters in lower case, and runs of other marks; a word in capitals
+and one that repeats the word before carry a mark of their own. Each is one of ``BUCKETS`` by a hash, so every word counts and the vectors have a fixed
 size. A bucket has a sparse index vector of ones and minus ones, from a fixed seed. Its
 context vector is the sum of the index vectors within ``WINDOW`` places of it, over all
 documents: tasks add up their own, Spark adds those up. Its word vector is its context's
@@ -22,17 +22,16 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import as_texts, session_of, slices
+from cairn.llm.common import as_bytes, session_of, slices
 
 #: Buckets (0 is none), components of a vector, non-zero ones of an index vector, places to either side.
 BUCKET_BITS, DIM, NONZERO, WINDOW = 16, 32, 4, 2
@@ -40,63 +39,101 @@ BUCKETS = 1 << BUCKET_BITS
 #: Share of all tokens at which a word counts a half (by the root), and the weight of its own index vector.
 FREQUENT, OWN = 1e-3, 0.5
 FIT_ROWS = 20_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 32, 20, 64, 3e-3, 1e-4, 11
+HIDDEN, EPOCHS, LEAST_STEPS, BATCH, RATE, DECAY, SEED = 32, 20, 600, 64, 3e-3, 1e-4, 11
 THRESHOLD = 0.3
 FEATURES = 2 * DIM + 1
-#: Words that a worker remembers, and their longest; tokens, and characters of a text, that are handled together. Results do not depend on them.
-REMEMBERED, REMEMBERED_CHARS, TOKENS, PIECE = 200_000, 40, 1 << 16, 1 << 20
-_CORE = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-_SPACE = re.compile(r"\s")
-
-
-def bucket(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) % (BUCKETS - 1) + 1
-
-
-_CAPITALS, _AGAIN = bucket("\0capitals"), bucket("\0again")
-
-
-class Words(dict):
-    """Word as written to its buckets: word, punctuation and capitals, packed; computed when first met."""
-
-    def __missing__(self, word: str) -> int:
-        core = _CORE.search(word)
-        around = word[: core.start()] + word[core.end() :] if core else word
-        packed = (bucket(core[0].lower()) if core else 0) | (bucket("\0" + around) if around else 0) << BUCKET_BITS
-        if core and len(core[0]) > 1 and core[0].isupper():
-            packed |= _CAPITALS << 2 * BUCKET_BITS
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = packed
-        return packed
+#: Tokens, and bytes of texts, that are handled together. Results do not depend on them.
+TOKENS, PIECE = 1 << 16, 1 << 20
+_WHITE, _WORD, _MARK = 0, 1, 2
+_BYTES = np.arange(256)
+_UPPER, _LOWER = (_BYTES >= 65) & (_BYTES <= 90), (_BYTES >= 97) & (_BYTES <= 122)
+_KIND = np.where(np.isin(_BYTES, list(b" \t\n\x0b\x0c\r")), _WHITE, np.where(_UPPER | _LOWER | (_BYTES >= 128) | ((_BYTES >= 48) & (_BYTES <= 57)), _WORD, _MARK)).astype(np.uint8)
+_FOLDED = np.where(_UPPER, _BYTES + 32, _BYTES).astype(np.uint64) + np.uint64(1)
+_JOINS = np.isin(_BYTES, list(b"'-"))
+#: Odd factors of the hash of a run of bytes.
+_FACTOR, _MIX, _OF_KIND = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor up to those of a piece, and of its inverse modulo 2 ** 64."""
+    out = []
+    for factor in (_FACTOR, pow(_FACTOR, -1, 1 << 64)):
+        each = np.full(PIECE + 1, factor, np.uint64)
+        each[0] = 1
+        out.append(np.cumprod(each))
+    return out[0], out[1]
+
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(32))) * _MIX
+    return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(BUCKETS - 1) + np.uint64(1)).astype(np.uint16)
+
+
+_CAPITALS, _AGAIN = _buckets(np.array([1, 2], np.uint64) * _OF_KIND)
+
+
+def _runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, kind and hash of each word and each run of marks in at most ``PIECE`` bytes, and whether it is in capitals."""
+    kind = _KIND[raw]
+    inner = _JOINS[raw[1:-1]] & (kind[:-2] == _WORD) & (kind[2:] == _WORD)
+    kind[1:-1][inner] = _WORD
+    begin = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
+    powers, inverse = _powers()
+    hashes = np.add.reduceat(_FOLDED[raw] * powers[: len(raw)], begin) * inverse[begin] + kind[begin] * _OF_KIND
+    capitals = (np.add.reduceat(_UPPER[raw], begin, dtype=np.int32) > 1) & (np.add.reduceat(_LOWER[raw], begin, dtype=np.int32) == 0)
+    shown = kind[begin] != _WHITE
+    return begin[shown], kind[begin][shown], hashes[shown], (capitals & (kind[begin] == _WORD))[shown]
+
+
+def _stream(kinds: np.ndarray, hashes: np.ndarray, capitals: np.ndarray, owner: np.ndarray, last: np.uint64 | None) -> tuple[np.ndarray, np.ndarray, np.uint64 | None]:
+    """Buckets of the runs and the marks that go with them, and the text of each; ``last`` is the word before the first, and the last one comes back."""
+    rows = np.zeros((len(kinds), 3), np.uint16)
+    rows[:, 0], rows[:, 1] = np.where(capitals, _CAPITALS, 0), _buckets(hashes)
+    words = np.flatnonzero(kinds == _WORD)
+    if len(words):
+        again = (hashes[words[1:]] == hashes[words[:-1]]) & (owner[words[1:]] == owner[words[:-1]])
+        rows[words, 2] = np.where(np.concatenate([[last is not None and hashes[words[0]] == last], again]), _AGAIN, 0)
+        last = hashes[words[-1]]
+    held = rows > 0
+    return rows[held], np.repeat(owner, held.sum(axis=1)), last
+
+
+def _cuts(raw: np.ndarray) -> Iterator[np.ndarray]:
+    """A text in pieces of at most ``PIECE`` bytes, cut at white space, or within a word or run that is longer."""
+    at = 0
+    while len(raw) - at > PIECE:
+        white = np.flatnonzero(_KIND[raw[at : at + PIECE]] == _WHITE)
+        to = at + (int(white[-1]) + 1 if len(white) else PIECE)
+        yield raw[at:to]
+        at = to
+    yield raw[at:]
 
 
-def _pieces(text: str) -> Iterator[str]:
-    """The text, cut at white space into pieces of about ``PIECE`` characters."""
+def streams(texts: list[bytes]) -> list[np.ndarray]:
+    """The buckets of each text, in order. Short texts are handled together, long ones in pieces."""
+    out: list[np.ndarray] = [np.zeros(0, np.uint16)] * len(texts)
     at = 0
-    while len(text) - at > PIECE:
-        cut = _SPACE.search(text, at + PIECE)
-        if not cut:
-            break
-        yield text[at : cut.start()]
-        at = cut.end()
-    yield text[at:]
-
-
-def tokens(text: str, words: Words) -> np.ndarray:
-    """The buckets of a text, in order."""
-    out, last = [], -1
-    for piece in _pieces(text):
-        found = piece.split()
-        packed = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-        if len(packed):
-            rows = np.empty((len(packed), 4), np.int64)
-            rows[:, 0], rows[:, 1], rows[:, 2] = packed >> 2 * BUCKET_BITS, packed & BUCKETS - 1, packed >> BUCKET_BITS & BUCKETS - 1
-            rows[:, 3] = np.where(packed == np.concatenate([[last], packed[:-1]]), _AGAIN, 0)
-            out.append(rows[rows > 0].astype(np.uint16))
-            last = packed[-1]
-    return np.concatenate(out) if out else np.zeros(0, np.uint16)
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (size := size + len(texts[to]) + 1) <= PIECE:
+            to += 1
+        if to == at:
+            made, last = [], None
+            for piece in _cuts(np.frombuffer(texts[at], np.uint8)):
+                _, kinds, hashes, capitals = _runs(piece)
+                found, _, last = _stream(kinds, hashes, capitals, np.zeros(len(kinds), np.int64), last)
+                made.append(found)
+            out[at] = np.concatenate(made)
+            at += 1
+            continue
+        raw = np.frombuffer(b"\n".join(texts[at:to]) + b"\n", np.uint8)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts[at : to - 1])])
+        begin, kinds, hashes, capitals = _runs(raw)
+        found, owner, _ = _stream(kinds, hashes, capitals, np.searchsorted(starts, begin, "right") - 1, None)
+        out[at:to] = np.split(found, np.searchsorted(owner, np.arange(1, to - at)))
+        at = to
+    return out
 
 
 def index_vectors() -> np.ndarray:
@@ -113,14 +150,14 @@ def add_contexts(stream: np.ndarray, gap: int, vectors: np.ndarray, sums: np.nda
     """Add the contexts of a stream to the sums of its buckets; ``gap`` zeros part the texts in it, and end it."""
     for at in range(0, len(stream), TOKENS):
         begin, end = max(0, at - gap), min(len(stream), at + TOKENS + gap)
-        around = vectors[stream[begin:end]].astype(np.int16)
-        reach = np.cumsum(np.concatenate([np.zeros((gap + 1, DIM), np.int16), around, np.zeros((gap, DIM), np.int16)]), axis=0, dtype=np.int32)
-        context = reach[2 * gap + 1 :] - reach[: -2 * gap - 1] - around
+        near = np.zeros((end - begin + 2 * gap, DIM), np.int8)  # at most one from each place, so a byte holds the sum
+        near[gap:-gap] = vectors[stream[begin:end]]
+        context = sum((near[k : len(near) - 2 * gap + k] for k in range(2 * gap + 1) if k != gap), start=np.zeros((end - begin, DIM), np.int8))
         own, context = stream[at : at + TOKENS], context[at - begin :][:TOKENS]
         order = np.argsort(own, kind="stable")
         sorted_own = own[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_own[1:] != sorted_own[:-1]]))
-        sums[sorted_own[first]] += np.add.reduceat(context[order], first, axis=0)
+        sums[sorted_own[first]] += np.add.reduceat(context[order], first, axis=0, dtype=np.int64)
         counts[sorted_own[first]] += np.diff(np.concatenate([first, [len(own)]]))
 
 
@@ -158,11 +195,11 @@ def word_vectors(docs: DataFrame) -> Vectors:
     """Word vectors from the contexts of all documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, vectors = Words(), index_vectors()
+        vectors = index_vectors()
         sums, counts = np.zeros((BUCKETS, DIM), np.int64), np.zeros(BUCKETS, np.int64)
         apart = np.zeros(WINDOW, np.uint16)
-        for batch in slices(batches, "text"):
-            stream = [x for text in as_texts(batch.column("text")) for x in (tokens(text, words), apart)]
+        for batch in slices(batches, "text", PIECE):
+            stream = [x for own in streams(as_bytes(batch.column("text"))) for x in (own, apart)]
             add_contexts(np.concatenate(stream), WINDOW, vectors, sums, counts)
         counts[0] = 0
         seen = np.flatnonzero(counts)
@@ -193,14 +230,14 @@ class Network:
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray) -> Network:
-        """Weights that lower the log loss: mini-batches in a fixed random order, steps scaled by running moments."""
+        """Weights that lower the log loss: mini-batches in a fixed random order, steps scaled by running moments; small samples are gone through more often."""
         rng = np.random.default_rng(SEED)
         net = cls(x.mean(axis=0), x.std(axis=0) + 1e-6, (
             rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)))
         x = (x - net.mean) / net.scale
         weights = [w.copy() for w in net.weights]
         moments, squares, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(x)))):
             order = rng.permutation(len(x))
             for at in range(0, len(x), BATCH):
                 own = order[at : at + BATCH]
@@ -261,9 +298,9 @@ def _pool(docs: DataFrame, vectors: Vectors, network: Network | None, columns: s
     shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (held, net) = Words(), shared.value
-        for batch in slices(batches, "text"):
-            x = np.array([held.pooled(tokens(text, words)) for text in as_texts(batch.column("text"))]).reshape(-1, FEATURES)
+        held, net = shared.value
+        for batch in slices(batches, "text", PIECE):
+            x = np.array([held.pooled(own) for own in streams(as_bytes(batch.column("text")))]).reshape(-1, FEATURES)
             values = pa.array(net.scores(x)) if net else pa.array(list(x), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], names=["doc_id", "value"])
 

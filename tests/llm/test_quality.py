@@ -21,36 +21,56 @@ def plain_contexts(streams):
     return sums, counts
 
 
+def plain_runs(text):
+    """(is a word, folded bytes, in capitals) of each run, byte by byte."""
+    raw, out, at = text.encode(), [], 0
+    word = lambda i: 0 <= i < len(raw) and (raw[i] >= 128 or chr(raw[i]).isalnum())
+    kind = lambda i: 0 if raw[i] in b" \t\n\x0b\x0c\r" else 1 if word(i) or raw[i] in b"'-" and word(i - 1) and word(i + 1) else 2
+    while at < len(raw):
+        to = at
+        while to < len(raw) and kind(to) == kind(at):
+            to += 1
+        run = raw[at:to]
+        letters = [c for c in run if c < 128 and chr(c).isalpha()]
+        if kind(at):
+            out.append((kind(at) == 1, run.lower(), kind(at) == 1 and len(letters) > 1 and all(chr(c).isupper() for c in letters)))
+        at = to
+    return out
+
+
+def plain_hash(is_word, run):
+    value = sum((c + 1) * pow(q._FACTOR, i, 1 << 64) for i, c in enumerate(run)) + (1 if is_word else 2) * int(q._OF_KIND)
+    return int(q._buckets(np.array([value % (1 << 64)], np.uint64))[0])
+
+
 def plain_tokens(text):
     out, last = [], None
-    for word in text.split():
-        packed = q.Words()[word]
-        parts = [packed >> 2 * q.BUCKET_BITS, packed % q.BUCKETS, (packed >> q.BUCKET_BITS) % q.BUCKETS, q._AGAIN if packed == last else 0]
-        out += [p for p in parts if p]
-        last = packed
+    for is_word, run, capitals in plain_runs(text):
+        out += [int(q._CAPITALS)] * capitals + [plain_hash(is_word, run)] + [int(q._AGAIN)] * (is_word and run == last)
+        last = run if is_word else last
     return out
 
 
-def test_tokens_in_pieces_are_those_of_the_whole(monkeypatch):
-    text = "One one, TWO!! two two-three ***  don't\n\n" * 40 + "x" * 300 + " END"
-    whole = q.tokens(text, q.Words())
-    assert whole.tolist() == plain_tokens(text)
-    for size in (1, 7, 64):
-        monkeypatch.setattr(q, "PIECE", size)
-        assert q.tokens(text, q.Words()).tolist() == whole.tolist()
-    assert len(q.tokens("", q.Words())) == len(q.tokens(" \n", q.Words())) == 0
+TEXT = "One one, TWO!! two two-three ***  don't 'x' - A AB É ÉÉ under_score 1A\n\n" * 30 + "x" * 300 + " END"
+
 
+def test_streams_against_plain_loops():
+    texts = [TEXT, "", " \n", "same", "same", "same same", "A-B c--d", "-", "é-É", TEXT]
+    assert [s.tolist() for s in q.streams([t.encode() for t in texts])] == [plain_tokens(t) for t in texts]
+    assert q.streams([]) == []
 
-def test_words_are_told_apart():
-    words = q.Words()
-    assert words["Word"] == words["word"] != words["word,"] and words["WORD"] != words["word"] and words["***"] and words["_"] == words["_"]
+
+def test_streams_in_pieces_are_those_of_the_whole(monkeypatch):
+    texts = [t.encode() for t in ("short", TEXT, "", "END again again", TEXT[:500], "x")]
+    whole = [s.tolist() for s in q.streams(texts)]
+    for size in (400, 1000, 5000):
+        monkeypatch.setattr(q, "PIECE", size)
+        assert [s.tolist() for s in q.streams(texts)] == whole
 
 
-def test_remembering_is_bounded(monkeypatch):
-    monkeypatch.setattr(q, "REMEMBERED", 5)
-    words = q.Words()
-    packed = [words[f"w{k}"] for k in range(40)] + [words["x" * 1000]]
-    assert len(words) <= 5 and packed == [q.Words()[w] for w in (*(f"w{k}" for k in range(40)), "x" * 1000)]
+def test_a_word_longer_than_a_piece(monkeypatch):
+    monkeypatch.setattr(q, "PIECE", 64)
+    assert [len(s) > 0 for s in q.streams([b"y" * 1000, b"z"])] == [True, True]
 
 
 @pytest.mark.parametrize("together", [3, 5, 1000])
