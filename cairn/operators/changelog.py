@@ -92,13 +92,15 @@ def in_partitions(log: DataFrame, columns: Sequence[str], values: Sequence[Seque
     return log.where(tuples)
 
 
-def open_partitions(log: DataFrame, partition_start: Column, partition_end: Column, lateness_seconds: int = 60) -> DataFrame:
+def open_partitions(log: DataFrame, partition_start: Column, partition_end: Column, lateness_seconds: int = 60, carried: DataFrame | None = None) -> DataFrame:
     """Dynamic subscription: drop records that arrive after their partition has been closed for their shard.
 
     A shard closes a partition once its event time (the greatest time seen so far in it)
-    has passed the end by the lateness.
+    has passed the end by the lateness. ``carried`` has the time (``_carried``) that each ``_shard`` comes with, a row each.
     """
     seen = ranges.running_max(log, "__seen", F.col("_ts_us"), ["_shard"], ["_lsn"])
+    if carried is not None:
+        seen = seen.join(carried, "_shard", "left").withColumn("__seen", F.greatest("__seen", "_carried")).select(*log.columns, "__seen")
     late = F.col("__seen") >= F.unix_micros(partition_end.cast("timestamp")) + lateness_seconds * 1_000_000
     early = F.col("_ts_us") < F.unix_micros(partition_start.cast("timestamp"))
     return seen.withColumn("__late", late | early).where("NOT __late").drop("__late", "__seen")

@@ -13,6 +13,7 @@ from cairn.session import table, work_dir
 from cairn.sources import changelog_source
 from cairn.sources.keyed_table import KeyedTable
 from cairn.streaming import sinks
+from cairn.streaming.partitions import PartitionSubscription, heartbeats
 
 _BASE = "base AS (SELECT c_custkey AS k, c_name AS name, c_acctbal AS v, c_mktsegment AS seg FROM customer)"
 _CHG = """chg AS (SELECT o_custkey + 50 AS k, o_orderkey AS _seq, CASE WHEN o_orderpriority LIKE '1%' THEN 'delete' ELSE 'put' END AS op,
@@ -208,3 +209,63 @@ def cdc_closed_partitions(spark, d):
     log = table(spark, d, "events").select(F.pmod("user_id", F.lit(4)).cast("int").alias("_shard"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"), "ts")
     ends = partitioning.stop(partitioning.suffix(F.col("ts"), "DAY"), "DAY")
     return changelog.closed_partitions(log, ends, 3600).select(F.col("partition_end").cast("date").alias("ended"))
+
+
+@query("""SELECT p_partkey * 7 AS o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM part LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = p_partkey * 7""")
+def keyed_get(spark, d):
+    """Gets from a stored keyed table after a merge of puts and deletes; only the buckets of the keys are read."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    target = KeyedTable(spark, work_dir(spark, "get"), ["o_orderkey"])
+    target.create(o)
+    op = F.when(F.col("o_orderstatus") == "F", "put").otherwise("delete")
+    target.merge(o.where("o_orderstatus IN ('F', 'P')").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "_op": op, "_seq": F.lit(1)}))
+    keys = table(spark, d, "part").select((F.col("p_partkey") * 7).alias("o_orderkey"))
+    return target.get(keys, ["o_custkey", "o_totalprice"])
+
+
+@query("""SELECT o_orderkey, o_totalprice, o_orderstatus = 'O' AS again FROM orders""")
+def keyed_growth(spark, d):
+    """A table that grows from nothing by merges, its buckets split on the way, read back."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.lit(1).alias("_seq"))
+    target = KeyedTable(spark, work_dir(spark, "growth"), ["o_orderkey"], buckets=1, bucket_rows=5000)
+    target.create(o.select("o_orderkey", "o_totalprice", F.lit(False).alias("again")).limit(0))
+    for status, again in (("O", False), ("F", False), ("P", False), ("O", True)):
+        target.merge(o.where(F.col("o_orderstatus") == status).withColumn("again", F.lit(again)).drop("o_orderstatus"))
+    return target.read()
+
+
+@query("""SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_totalprice, o_orderstatus FROM orders""")
+def stream_held_deletes(spark, d):
+    """A stream that ends before the updates' after-images: the rows they change are still there, as they were."""
+    folder = work_dir(spark, "held")
+    _change_log(spark, d).where("_event_type <> 7").coalesce(2).write.parquet(f"{folder}/log")
+    target = KeyedTable(spark, f"{folder}/table", ["o_orderkey"], buckets=8)
+    target.create(_snapshots(spark, d)[0])
+    stream = spark.readStream.schema(spark.read.parquet(f"{folder}/log").schema).parquet(f"{folder}/log")
+    sinks.upsert(stream, target, f"{folder}/checkpoint", ignore_delete=False).awaitTermination()
+    return target.read().select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query("""WITH log AS (SELECT CAST(user_id % 4 AS INTEGER) AS _shard, event_id AS _lsn, epoch_us(ts) AS _ts_us, date_trunc('day', ts) AS day FROM events),
+seen AS (SELECT *, max(_ts_us) OVER (PARTITION BY _shard ORDER BY _lsn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m FROM log),
+kept AS (SELECT day, count(*) AS n, sum(_lsn) AS s FROM seen WHERE m < epoch_us(day + INTERVAL 1 DAY) + 3600000000 GROUP BY day),
+low AS (SELECT min(m) AS low FROM (SELECT max(_ts_us) AS m FROM log GROUP BY _shard)),
+days AS (SELECT unnest(generate_series((SELECT min(day) FROM log), (SELECT max(day) FROM log), INTERVAL 1 DAY)) AS day)
+SELECT strftime(days.day, '%Y%m%d') AS partition, coalesce(n, 0) AS n, CAST(coalesce(s, 0) AS BIGINT) AS ids, low >= epoch_us(days.day + INTERVAL 1 DAY) + 3600000000 AS closed
+FROM days LEFT JOIN kept ON kept.day = days.day, low""")
+def stream_dynamic_partitions(spark, d):
+    """Day partitions of a stream of four shards, and a fifth without records that heartbeats move on: rows kept, and what has closed."""
+    folder = work_dir(spark, "dynamic")
+    e = table(spark, d, "events")
+    log = e.select(
+        F.pmod("user_id", F.lit(4)).cast("int").alias("_shard"), F.col("event_id").alias("_lsn"), F.lit(changelog.INSERT).alias("_event_type"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"))
+    most = log.agg(F.max("_ts_us")).first()[0]
+    log.repartitionByRange(3, "_lsn").sortWithinPartitions("_lsn").write.parquet(f"{folder}/log")
+    heartbeats(log, {4: most}).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    followed = PartitionSubscription(spark, f"{folder}/out", "DAY", range(5), 3600)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/log")
+    followed.start(stream, f"{folder}/checkpoint").awaitTermination()
+    kept = followed.rows(log).groupBy(F.col("_partition").cast("string").alias("partition")).agg(F.count("*").alias("n"), F.sum("_lsn").alias("ids"))
+    told = followed.children().groupBy("partition").agg(F.max(F.col("event") == "close").alias("closed"))
+    return told.join(kept, "partition", "left").select("partition", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("ids", F.lit(0)).alias("ids"), "closed")
