@@ -35,8 +35,8 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _NEVER = float("-inf")
-#: Words whose counts a worker remembers; a bound on memory that results do not depend on.
-REMEMBERED = 300_000
+#: Words whose counts a worker remembers, and their longest; a bound on memory that results do not depend on.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 40
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -65,9 +65,11 @@ class Counter(dict):
         self.remembered = remembered
 
     def __missing__(self, word: str) -> tuple[int, float]:
-        if len(self) > self.remembered:
-            self.clear()
-        found = self[word] = self.viterbi(word)
+        found = self.viterbi(word)
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) > self.remembered:
+                self.clear()
+            self[word] = found
         return found
 
     def viterbi(self, word: str) -> tuple[int, float]:

@@ -37,3 +37,9 @@ def test_rows(docs):
 def test_forgetting_changes_nothing():
     pieces = x.read_pieces(x.VOCABULARY)
     assert x.Counter(pieces, remembered=1).of_text("a b c a b c") == x.Counter(pieces).of_text("a b c a b c")
+
+
+def test_long_words_are_not_remembered():
+    tool = x.Counter([("▁", -1.0), ("a", -1.0), ("aa", -1.5)])
+    long = "a" * 10_000
+    assert tool.of_text(long) == tool.of_text(long) == (5001, -1.0 - 7500.0) and long not in tool and not any(len(w) > x.REMEMBERED_CHARS for w in tool)
