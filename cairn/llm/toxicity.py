@@ -60,7 +60,8 @@ FEATURES = (
     "lexicon", "lexicon_count", "lexicon_weight", "lexicon_distinct", "hidden", "hidden_count", "near_you", "near_you_count", "you",
     "caps_words", "capitals", "exclamation", "question", "punctuation", "obfuscated", "stretched", "digits", "words",
 )
-_REMEMBERED = 200_000
+#: Words whose marks a worker remembers, and their longest; a bound on memory that results do not depend on.
+_REMEMBERED, _REMEMBERED_CHARS = 200_000, 40
 
 
 class Marks(dict):
@@ -92,9 +93,10 @@ class Marks(dict):
             mark |= _STRETCH
         if weight is not None:
             mark |= int(min(99, max(0, weight)) * 100) << 8
-        if len(self) > _REMEMBERED:
-            self.clear()
-        self[word] = mark
+        if len(word) <= _REMEMBERED_CHARS:
+            if len(self) > _REMEMBERED:
+                self.clear()
+            self[word] = mark
         return mark
 
 

@@ -122,3 +122,8 @@ def test_more_words_than_a_short_list_are_learned(spark):
     bad = ["q" + "".join(chr(97 + (k // 26**d) % 26) for d in range(3)) for k in range(700)]
     rows = [(" ".join(bad), 1)] * 40 + [("fine words only", 0)] * 40
     assert set(bad) <= set(x.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int")))
+
+
+def test_long_words_are_not_remembered():
+    marks = x.Marks({"idiot": 1.0})
+    assert marks["x" * 1000] == marks["x" * 1000] and marks["IDIOT"] == marks["IDIOT"] and set(marks) == {"IDIOT"}
