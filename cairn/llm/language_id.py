@@ -9,9 +9,11 @@ as its score.
 
 Training is a fit on the driver over a sample of about ``SAMPLE_ROWS`` labelled
 rows a language, and ``SAMPLE_BYTES`` in all (chosen by a hash of doc_id among rows
-whose crc32 is not 2 modulo 4, whole texts of at most ``SAMPLE_TEXT_BYTES``). Training
+whose crc32 is not 2 modulo 4, whole texts of at most ``SAMPLE_TEXT_BYTES``); a language of
+which none is drawn gives the beginning of one text, so that every one is learned. Training
 sequences splice runs of words of different languages, from which the transitions of
-code-switched text are learned. Every language that occurs is learned.
+code-switched text are learned. The driver holds two tables of ``BUCKETS`` times the
+languages in 4 bytes each, executors one: a megabyte and half of one for each language.
 
 The filtering stage keeps a document if some language fits its words: it has letters
 and the mean over its words of the largest marginal is ``MIN_CONFIDENCE`` or more.
@@ -260,15 +262,22 @@ def _gradient(scores: np.ndarray, gold: np.ndarray, move: np.ndarray) -> tuple[n
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on the sample of labelled rows that the module's text describes."""
     spark = session_of(docs)
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & is_training_row(F.col("doc_id")))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).orderBy("lang").collect()  # a row a language
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & is_training_row(F.col("doc_id"))).select("doc_id", "lang", "text")
+    short = F.octet_length("text") <= SAMPLE_TEXT_BYTES
+    counts = known.groupBy("lang").agg(F.count_if(short).alias("n"), F.sum(F.when(short, F.octet_length("text"))).alias("size")).orderBy("lang").collect()  # a row a language
     if not counts:
         return fit([], [])
     most = sample_bytes / len(counts)
-    shares = [(r["lang"], min(1.0, sample_rows / r["n"], most / max(1, r["size"]))) for r in counts]
+    shares = [(r["lang"], min(1.0, sample_rows / max(1, r["n"]), most / max(1, r["size"] or 0))) for r in counts]
     share = spark.createDataFrame(shares, "lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(share), "lang").where(draw).select("doc_id", "lang", "text").limit(2 * sample_rows * len(counts)).collect()
+    rows = known.where(short).join(F.broadcast(share), "lang").where(draw).select("doc_id", "lang", "text").limit(2 * sample_rows * len(counts)).collect()
+    drawn = {r["lang"] for r in rows}
+    if undrawn := [(r["lang"],) for r in counts if r["lang"] not in drawn]:
+        # of each of these the text that a hash puts first, from its beginning
+        others = known.join(F.broadcast(spark.createDataFrame(undrawn, "lang string")), "lang").withColumn("at", F.xxhash64("doc_id", "text"))
+        first = others.groupBy("lang").agg(F.min("at").alias("at"))
+        rows += others.join(F.broadcast(first), ["lang", "at"]).dropDuplicates(["lang"]).select("doc_id", "lang", F.substring("text", 1, int(min(SAMPLE_TEXT_BYTES, most))).alias("text")).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
     return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 

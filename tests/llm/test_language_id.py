@@ -100,3 +100,13 @@ def test_pieces_change_nothing(prose, monkeypatch):
     monkeypatch.setattr(x, "_SLICE", 50)
     cut = x.label_texts(model, texts)
     assert whole[0] == cut[0] and np.allclose(whole[1], cut[1]) and np.allclose(whole[2], cut[2])
+
+
+def test_every_language_is_learned(spark, docs, prose):
+    """Languages of long texts alone, and of one text among very many, are learned too."""
+    rows = [(k, prose(k, 20, ("ka", "lo", "mi")), "aa") for k in range(300)]
+    rows += [(1000 + k, prose(k, 30_000, ("stro", "weg")), "bb") for k in range(4)]
+    rows += [(2000 + k, prose(k, 20, ("thu", "pfen")), "cc") for k in range(4)]
+    model = x.learn(docs(rows), sample_rows=3)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert x.label_texts(model, [prose(9, 20, ("stro", "weg")).encode(), prose(9, 20, ("thu", "pfen")).encode()])[0] == ["bb", "cc"]
