@@ -182,7 +182,7 @@ def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) ->
 
 def _spliced(languages: np.ndarray, row: np.ndarray, label: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Word places and labels of training sequences: runs of words of random languages."""
-    size = np.bincount(row)
+    size = np.bincount(row, minlength=len(label))
     start = np.cumsum(size) - size
     rows_of = [np.flatnonzero((label == c) & (size > 0)) for c in range(len(languages))]
     usable = [c for c, r in enumerate(rows_of) if len(r)]

@@ -2,9 +2,10 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tid string, fp long, digest string, _gone int, keep_id int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tid string, fp long, digest string, _gone int, keep_id int, "
+SCHEMA += "own int, row_key int, row_id int, key int, node int, words int, seeds int, row int, at int, share double, part int, root int, u int, v int, m int"
 #: Columns whose names also occur inside the operators.
-CLASHING = ("x", 1, "d", 7, 9)
+CLASHING = ("x", 1, "d", 7, 9, *range(9), 0.5, *range(5))
 
 
 @pytest.fixture(scope="session")

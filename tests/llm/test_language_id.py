@@ -110,3 +110,9 @@ def test_every_language_is_learned(spark, docs, prose):
     model = x.learn(docs(rows), sample_rows=3)
     assert model.languages == ["aa", "bb", "cc"]
     assert x.label_texts(model, [prose(9, 20, ("stro", "weg")).encode(), prose(9, 20, ("thu", "pfen")).encode()])[0] == ["bb", "cc"]
+
+
+def test_last_rows_of_the_sample_without_words(spark, docs, prose):
+    rows = corpus(prose) + [(9001, "12 34", "aa"), (9002, "", "bb"), (9003, "", "aa"), (9004, "!", "cc"), (9005, "", "bb"), (9006, "", "bb")]
+    found = {r["doc_id"]: r["lang_pred"] for r in x.identify(docs(rows)).collect()}
+    assert all(found[i] == lang for i, _, lang in rows[:60]) and {found[i] for i in range(9001, 9007)} == {"und"}
