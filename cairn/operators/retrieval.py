@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.session import work_dir
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -48,20 +51,35 @@ def nearest_for(queries: DataFrame, vectors: DataFrame, k: int, vector: str = "e
 
     The queries are taken in blocks of about ``block``, chosen by a hash of the id; each
     block is broadcast, and each task scans its vectors against it and keeps k rows for
-    each query before anything is shuffled. Products of matrices rule out vectors that
-    are too far whatever the rounding; the distances of the others are worked out directly.
+    each query before anything is shuffled. Where there is more than one, block after block
+    is searched and its result stored in the shared folder, so driver and executors hold one
+    at a time. Products of matrices rule out vectors that are too far whatever the rounding;
+    the distances of the others are worked out directly.
     """
-    from functools import reduce
-
-    from pyspark.sql import Window
-
     asked = queries.select(F.col(id_).alias("q"), F.col(vector).alias("v")).where(F.col(vector).isNotNull())
     blocks = max(1, -(-asked.count() // block))
-    own = F.pmod(F.xxhash64("q"), F.lit(blocks))
     source = vectors.select(id_, vector).where(F.col(vector).isNotNull())
-    parts = [source.mapInArrow(_nearest_in(asked.where(own == b) if blocks > 1 else asked, id_, k, metric), f"query_id long, {id_} long, distance double") for b in range(blocks)]
+    if blocks == 1:
+        return _ranked(_block_of(asked, source, id_, k, metric)[0], id_, k)
+    folder, own = work_dir(queries.sparkSession, "nearest"), F.pmod(F.xxhash64("q"), F.lit(blocks))
+    for b in range(blocks):
+        found, shared = _block_of(asked.where(own == b), source, id_, k, metric)
+        _ranked(found, id_, k).write.parquet(f"{folder}/block={b}")
+        shared.destroy()
+    return queries.sparkSession.read.parquet(folder).select("query_id", "rank", id_, "distance")
+
+
+def _ranked(found: DataFrame, id_: str, k: int) -> DataFrame:
+    """The k nearest of each query among the rows that tasks have kept."""
+    from pyspark.sql import Window
+
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", id_))
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_, "distance")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_, "distance")
+
+
+def _block_of(asked: DataFrame, source: DataFrame, id_: str, k: int, metric: str) -> tuple[DataFrame, Broadcast]:
+    work, shared = _nearest_in(asked, id_, k, metric)
+    return source.mapInArrow(work, f"query_id long, {id_} long, distance double"), shared
 
 
 def _nearest_in(asked: DataFrame, id_: str, k: int, metric: str):
@@ -72,10 +90,7 @@ def _nearest_in(asked: DataFrame, id_: str, k: int, metric: str):
     shared = asked.sparkSession.sparkContext.broadcast(([r["q"] for r in rows], np.array([r["v"] for r in rows], np.float64)))
 
     def direct(q, x):
-        if metric == "l2":
-            return ((q - x) ** 2).sum(1)
-        dots = (q * x).sum(1)
-        return 1 - dots / (np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1)) if metric == "cosine" else -dots
+        return row_distances(q, x, metric)
 
     def roughly(q, x):
         """Distances by products, and a bound on what rounding adds or takes."""
@@ -110,7 +125,17 @@ def _nearest_in(asked: DataFrame, id_: str, k: int, metric: str):
             asked = np.repeat(names[at : at + 128], d.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(asked[real]), pa.array(i.ravel()[real]), pa.array(d.ravel()[real])], names=["query_id", id_, "distance"])
 
-    return work
+    return work, shared
+
+
+def row_distances(q, x, metric: str):
+    """Distance of each row of one matrix to the row beside it in the other."""
+    import numpy as np
+
+    if metric == "l2":
+        return ((q - x) ** 2).sum(-1)
+    dots = (q * x).sum(-1)
+    return 1 - dots / (np.linalg.norm(q, axis=-1) * np.linalg.norm(x, axis=-1)) if metric == "cosine" else -dots
 
 
 def pack(docs: DataFrame, by: Sequence[str], rank: str, size: str, id_: str, budget: int) -> DataFrame:

@@ -27,6 +27,17 @@ def bitmap_to_array(spark, d):
     return bitmap.to_array(bitmap.merge(_bitmaps(spark, d), ["event_type"]), ["event_type"])
 
 
+@query("""WITH a AS (SELECT l_returnflag AS flag, l_orderkey * 524287001 AS id FROM lineitem), b AS (SELECT o_orderkey * 524287001 AS id FROM orders WHERE o_orderstatus = 'F')
+SELECT flag, count(DISTINCT id) AS uv, count(DISTINCT CASE WHEN id IN (SELECT id FROM b) THEN id END) AS also FROM a GROUP BY flag""")
+def bitmap_sparse_ids(spark, d):
+    """Ids far apart: distinct ones of each group, and how many of them a second set has."""
+    spread = lambda c: (F.col(c) * 524_287_001).alias("id")
+    a = bitmap.build(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("flag"), spread("l_orderkey")), ["flag"], "id")
+    b = bitmap.build(table(spark, d, "orders").where("o_orderstatus = 'F'").select(spread("o_orderkey")), [], "id")
+    also = bitmap.cardinality(bitmap.intersect(a, b, []), ["flag"], "also")
+    return bitmap.cardinality(a, ["flag"]).join(also, "flag", "left").select("flag", "uv", F.coalesce("also", F.lit(0)).alias("also"))
+
+
 @query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv FROM events GROUP BY ALL")
 def uv_tumbling(spark, d):
     return windows.window_uv(table(spark, d, "events"), "ts", "user_id", ["event_type"], 3600)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from cairn.functions import text
 from cairn.operators import retrieval
 from cairn.plans.registry import query
-from cairn.session import table
+from cairn.operators.vector_index import VectorIndex
+from cairn.session import table, work_dir
 
 _L2 = "list_sum(list_transform(generate_series(1, 64), lambda i: (CAST(e.embedding[i] AS DOUBLE) - CAST(q.embedding[i] AS DOUBLE)) ** 2))"
 
@@ -33,6 +34,25 @@ def vector_topk_queries(spark, d):
     return retrieval.nearest_for(e.where("vec_id % 50 = 0"), e, 5).select("query_id", "rank", "vec_id")
 
 
+@query(f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id FROM (SELECT q.vec_id AS query_id, e.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_L2}, e.vec_id) AS rank
+FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0) WHERE rank <= 5""")
+def vector_index_all(spark, d):
+    """The same from an index, with every list probed."""
+    e = table(spark, d, "embeddings")
+    index = VectorIndex.build(e, work_dir(spark, "index"))
+    return index.search(e.where("vec_id % 50 = 0"), 5, index.described()["lists"]).select("query_id", "rank", "vec_id")
+
+
+@query("SELECT count(*) * 5 AS wanted, TRUE AS enough FROM embeddings WHERE vec_id % 50 = 0")
+def vector_index_recall(spark, d):
+    """With the measured number of probes: of the five nearest of every fiftieth vector at least nine tenths are found."""
+    e = table(spark, d, "embeddings")
+    index, asked = VectorIndex.build(e, work_dir(spark, "index")), e.where("vec_id % 50 = 0")
+    exact = retrieval.nearest_for(asked, e, 5).select("query_id", "vec_id")
+    found = index.search(asked, 5).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    return exact.join(found, ["query_id", "vec_id"], "left").agg(F.count("*").alias("wanted"), (F.sum("hit") >= 0.9 * F.count("*")).alias("enough"))
+
+
 @query("""WITH RECURSIVE d AS (SELECT source, doc_id, n_chars AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
 p AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS total, CAST([] AS BIGINT[]) AS ids FROM documents
  UNION ALL SELECT p.source, d.r, CASE WHEN p.total + d.n <= 2000 THEN p.total + d.n ELSE p.total END, CASE WHEN p.total + d.n <= 2000 THEN list_append(p.ids, d.doc_id) ELSE p.ids END
