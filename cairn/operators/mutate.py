@@ -8,19 +8,25 @@ rows one by one in order.
 Without conditions this needs no ordered fold: the last delete of a key divides
 its log, and what remains is a first, a last, or a last per column, all of which
 aggregate partially before the shuffle. Conditional and expression writes are not
-commutative; their log is folded per key in order, in one expression.
+commutative; their log is folded per key in order, in one expression, and where it is
+longer than ``FOLD_ROWS`` in pieces, one after the other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators import ranges
+from cairn.session import remove_dir, work_dir
+
 REPLACE, IGNORE, UPDATE = "replace", "ignore", "update"
 #: Conflict policy where none is named.
 DEFAULT_MODE = REPLACE
+#: Changes of one key that are folded together.
+FOLD_ROWS = 100_000
 OPERATORS = {"greater": ">", "greater_equal": ">=", "less": "<", "less_equal": "<=", "equal": "=", "not_equal": "<>", "is_null": "IS NULL", "is_not_null": "IS NOT NULL"}
 
 
@@ -157,6 +163,13 @@ def expression_upsert(
         f"CASE WHEN excluded._op = 'delete' THEN CASE WHEN old._exists AND {holds} THEN {gone} ELSE old END"
         f" WHEN NOT old._exists THEN {row({v: f'excluded.{_tick(v)}' for v in values})}"
         f" WHEN {holds} THEN {row({v: assign.get(v, f'old.{_tick(v)}') for v in values})} ELSE old END")
+    fold = lambda held, log: _folded(held, log, key, values, start, step)
+    long = changes.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > FOLD_ROWS)
+    return fold(base, changes) if long.isEmpty() else _folded_in_pieces(base, changes, key, long, fold)
+
+
+def _folded(base: DataFrame, changes: DataFrame, key: Sequence[str], values: Sequence[str], start: str, step: str) -> DataFrame:
+    """Fold each key's changes into its row, in order, in one expression."""
     log = changes.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key]).agg(F.array_sort(F.collect_list(F.struct("_seq", "_op", *key, *values))).alias("_log"))
     held = base.select(*key, F.struct(*values).alias("_b"), F.lit(True).alias("_base"))
     both = held.join(log, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key], "full_outer").withColumn("_base", F.coalesce("_base", F.lit(False)))
@@ -165,6 +178,27 @@ def expression_upsert(
     return folded.where("_end._exists").select(*keys, *[F.col("_end")[v].alias(v) for v in values]).select(*base.columns)
 
 
+def _folded_in_pieces(base: DataFrame, changes: DataFrame, key: Sequence[str], long: DataFrame, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Keys with long logs apart: their changes are numbered in order over range partitions and stored in pieces of
+    ``FOLD_ROWS`` a key, and one piece after the other is folded into their rows, so no task holds more of a key at once."""
+    spark, folder = base.sparkSession, work_dir(base.sparkSession, "fold")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    hot = kept(long.select(*[F.col(k).alias(f"_hot_{k}") for k in key], "_n"), "keys")
+    match = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key]
+    numbered = ranges.numbered(changes.join(hot, match, "left_semi"), "_at", key, ["_seq"])
+    numbered.withColumn("_piece", F.floor((F.col("_at") - 1) / FOLD_ROWS).cast("int")).drop("_at").write.partitionBy("_piece").parquet(f"{folder}/log")
+    state = kept(base.join(hot, match, "left_semi"), "rows-0")
+    for piece in range(-(-hot.agg(F.max("_n")).first()[0] // FOLD_ROWS)):
+        log = spark.read.schema(changes.schema).parquet(f"{folder}/log/_piece={piece}")
+        state = kept(fold(state, log), f"rows-{piece + 1}")
+        remove_dir(spark, f"{folder}/rows-{piece}")
+    return fold(base.join(hot, match, "left_anti"), changes.join(hot, match, "left_anti")).unionByName(state)
+
+
 _STRICT = {"greater": F.max_by, "less": F.min_by}
 
 

@@ -111,3 +111,23 @@ def test_defaults_and_validation(spark):
 def test_missing_columns_keep_old_values_on_update(spark):
     b, c = frames(spark, {1: {"a": 5, "b": "x"}}, [(1, "put", {"a": 6})], False)
     assert rows(mutate.apply_mutations(b, c.drop("b"), ["k"], "update")) == [(1, 6, "x")]
+
+
+def test_long_logs_are_folded_in_pieces(spark, monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    base = spark.createDataFrame([(k, k * 10, "b") for k in range(6)] + [(None, 7, "n")], "k int, v long, s string")
+    log = [(rng.choice([0, 0, 0, 1, 2, 9, None, None]), seq, rng.choice(["put", "put", "put", "delete"]), rng.randint(0, 50), f"s{seq}") for seq in range(300)]
+    changes = spark.createDataFrame(log, "k int, _seq long, _op string, v long, s string").repartition(5)
+    fold = lambda: sorted((tuple(r) for r in mutate.expression_upsert(base, changes, ["k"], {"v": "old.v * 3 % 1000 + excluded.v", "s": "excluded.s"}, "excluded.v % 7 <> old.v % 7").collect()), key=str)
+    whole = fold()
+    for most in (100, 17, 1):
+        monkeypatch.setattr(mutate, "FOLD_ROWS", most)
+        if most > 1:
+            assert fold() == whole
+    monkeypatch.setattr(mutate, "FOLD_ROWS", 40)
+    checked = lambda: sorted((tuple(r) for r in mutate.check_and_put(base, changes, ["k"], "v", "greater_equal").collect()), key=str)
+    pieces = checked()
+    monkeypatch.setattr(mutate, "FOLD_ROWS", 1000)
+    assert checked() == pieces
