@@ -211,6 +211,24 @@ def cdc_closed_partitions(spark, d):
     return changelog.closed_partitions(log, ends, 3600).select(F.col("partition_end").cast("date").alias("ended"))
 
 
+@query(f"""WITH {_DIFF} SELECT _shard, max(_lsn) AS last, count(*) AS n, sum(o_orderkey) AS keys, count(o_orderstatus) FILTER (WHERE _lsn % 2 = 1) AS marked FROM log WHERE _shard <> 1 OR _lsn > 100 GROUP BY _shard""")
+def changelog_follow(spark, d):
+    """A stored log, appended in two commits of which the second has a column more, followed from an offset into a table."""
+    folder = work_dir(spark, "follow")
+    log = _change_log(spark, d).drop("o_totalprice")
+    changelog_source.write_changelog(log.where("_lsn % 2 = 0").drop("o_orderstatus"), f"{folder}/log")
+    changelog_source.write_changelog(log.where("_lsn % 2 = 1"), f"{folder}/log")
+    target = KeyedTable(spark, f"{folder}/table", ["shard", "lsn"], 4)
+    target.create(log.select(F.col("_shard").alias("shard"), F.col("_lsn").alias("lsn"), "o_orderkey", "o_custkey").limit(0))
+
+    def step(events, batch_id):
+        target.merge(events.drop("_event_type", "_ts_us").withColumnsRenamed({"_shard": "shard", "_lsn": "lsn"}).withColumn("_seq", F.lit(batch_id)), evolve=True, once=("follow", batch_id))
+
+    changelog_source.follow(spark, f"{folder}/log", step, f"{folder}/checkpoint", {1: 100}, commits_per_batch=1).awaitTermination()
+    return target.read().groupBy(F.col("shard").alias("_shard")).agg(
+        F.max("lsn").alias("last"), F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.count("o_orderstatus").alias("marked"))
+
+
 @query("""SELECT p_partkey * 7 AS o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
 FROM part LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = p_partkey * 7""")
 def keyed_get(spark, d):

@@ -75,6 +75,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder to a free name."""
+    at, fs = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(at, target):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at, fs = _at(spark, path)
     fs.delete(at, True)

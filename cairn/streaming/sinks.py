@@ -81,13 +81,19 @@ def upsert(
     stream: DataFrame, table: KeyedTable, checkpoint: str, ignore_delete: bool = True, available_now: bool = True, hold: bool = True, patience: int = 1, **how,
 ) -> StreamingQuery:
     """Merge a change stream into a table, one micro-batch at a time; with ``hold`` deletes wait for their updates."""
+    return _started(stream.writeStream.foreachBatch(merging(table, checkpoint, ignore_delete, hold, patience, **how)), checkpoint, available_now)
+
+
+def merging(table: KeyedTable, checkpoint: str, ignore_delete: bool = True, hold: bool = True, patience: int = 1, **how) -> Callable[[DataFrame, int], None]:
+    """What ``upsert`` does with a micro-batch of events; also a step for ``changelog_source.follow``, where with
+    ``evolve`` the columns that the log gains become the table's."""
     held = HeldDeletes(table, f"{checkpoint}/held", patience)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         events = held.split(batch, batch_id) if hold and not ignore_delete else batch
         table.merge(as_mutations(events, ignore_delete), once=_writer(batch, checkpoint, batch_id), **how)
 
-    return _started(stream.writeStream.foreachBatch(merge), checkpoint, available_now)
+    return merge
 
 
 def _started(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
