@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from cairn.operators import lookup, scan
 from cairn.plans.registry import query
-from cairn.session import load_tables, table
+from cairn.session import load_tables, table, work_dir
+from cairn.sources.clustered import ClusteredTable
 
 
 @query("""SELECT k AS o_orderkey, o_custkey, o_totalprice FROM (VALUES (CAST(1 AS BIGINT)), (7), (7), (500), (-1)) v(k) LEFT JOIN orders ON o_orderkey = k""")
@@ -96,3 +97,19 @@ SELECT o_orderkey, uid_int FROM orders JOIN grown ON o_orderkey = uid""")
 def lookup_insert_if_missing(spark, d):
     dim = table(spark, d, "customer").select(F.col("c_custkey").alias("uid"), F.col("c_custkey").alias("uid_int"))
     return lookup.lookup_or_insert(table(spark, d, "orders").select("o_orderkey"), dim, {"o_orderkey": "uid"}, "uid_int")[0]
+
+
+def _clustered(spark, d, name, key, rows):
+    return ClusteredTable.write(table(spark, d, name), work_dir(spark, "clustered"), key, rows)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey >= 33 AND l_orderkey < 70 AND l_linenumber = 1 ORDER BY l_orderkey, l_linenumber""")
+def clustered_prefix(spark, d):
+    """A range and an equal value of the clustering key, from a table laid out by it."""
+    return _clustered(spark, d, "lineitem", ["l_orderkey", "l_linenumber"], 5000).scan({"l_linenumber": 1}, {"l_orderkey": (33, 70)}, ["l_orderkey", "l_linenumber", "l_suppkey"])
+
+
+@query("""SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate NULLS LAST, o_orderkey LIMIT 100""")
+def clustered_first(spark, d):
+    """The first rows in clustering order that meet a condition; ranges are read until there are enough."""
+    return _clustered(spark, d, "orders", ["o_orderdate:desc", "o_orderkey"], 1000).scan({"o_orderstatus": "P"}, columns=["o_orderkey", "o_orderdate"], limit=100)
