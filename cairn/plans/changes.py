@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions import partitioning
 from cairn.operators import changelog, mutate
-from cairn.plans.registry import query
+from cairn.plans.registry import query, write_in_order
 from cairn.session import table, work_dir
 from cairn.sources import changelog_source
 from cairn.sources.keyed_table import KeyedTable
@@ -279,7 +279,7 @@ def stream_dynamic_partitions(spark, d):
     log = e.select(
         F.pmod("user_id", F.lit(4)).cast("int").alias("_shard"), F.col("event_id").alias("_lsn"), F.lit(changelog.INSERT).alias("_event_type"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"))
     most = log.agg(F.max("_ts_us")).first()[0]
-    log.repartitionByRange(3, "_lsn").sortWithinPartitions("_lsn").write.parquet(f"{folder}/log")
+    write_in_order(log, F.col("_lsn"), 3, f"{folder}/log")
     heartbeats(log, {4: most}).coalesce(1).write.mode("append").parquet(f"{folder}/log")
     followed = PartitionSubscription(spark, f"{folder}/out", "DAY", range(5), 3600)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/log")

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import convert, partitioning, sharding, text
-from cairn.plans.registry import query
+from cairn.plans.registry import query, write_in_order
 from cairn.schema import ColumnDef, TableDef, widen
 from cairn.session import table, work_dir
 from cairn.sources import catalog, csvio, loader, messages
 from cairn.sources.keyed_table import KeyedTable
-from cairn.streaming import sinks, windows
+from cairn.streaming import early, sinks, windows
 
 
 def _hashed(source, columns, texts):
@@ -185,6 +185,23 @@ def uv_stream(spark, d):
     return target.read().groupBy("event_type", F.col("window_end").cast("timestamp_ntz").alias("window_end")).agg(F.sum(F.bitmap_count("bitmap")).alias("uv"))
 
 
+@query("""WITH w AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, user_id FROM events)
+SELECT event_type, window_end, count(DISTINCT user_id) AS uv FROM w WHERE window_end <= (SELECT max(ts) FROM events) GROUP BY event_type, window_end""")
+def uv_early(spark, d):
+    """Distinct users of an hour from a stream of several micro-batches that gives counts every three minutes of event time; those of windows that have ended."""
+    folder = work_dir(spark, "early")
+    e = table(spark, d, "events").select("event_type", "ts", "user_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    write_in_order(e, F.unix_micros("ts"), 4, f"{folder}/events")
+    target = KeyedTable(spark, f"{folder}/table", ["event_type", "window_end", "bucket"], 8)
+    counts = lambda rows: early.early_counts(rows, "ts", "user_id", ["event_type"], 3600)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    made = counts(stream)
+    target.create(spark.createDataFrame([], made.schema))
+    sinks.upsert_rows(made, target, f"{folder}/checkpoint", "given_at").awaitTermination()
+    ended = target.read().where("given_at >= window_end")
+    return ended.groupBy("event_type", F.col("window_end").cast("timestamp_ntz").alias("window_end")).agg(F.sum("uv").alias("uv"))
+
+
 @query("SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS seg, CAST(c_custkey * 86400 AS BIGINT) AS seconds FROM customer")
 def load_rows(spark, d):
     """Foreign rows, all text, mapped to a table's types and merged; the second row of a key replaces the first."""
