@@ -128,18 +128,23 @@ def problems(df: DataFrame, table: TableDef) -> Column:
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
-def split_dirty(df: DataFrame, table: TableDef, policy: str = "exception", extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def split_dirty(df: DataFrame, table: TableDef, policy: str = "exception", extra: Sequence[str] = (), once: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows cast to the table's types, rejected rows with ``_problems``).
 
     Policy ``exception`` ends the job at the first bad row, ``skip`` drops bad rows from
-    the good ones, which the second frame still reports.
+    the good ones, which the second frame still reports. ``skip_once`` drops the bad rows
+    that ``once`` names, as by their place in the source, and any other bad row ends the job.
     """
-    if policy not in ("exception", "skip"):
+    if policy not in ("exception", "skip", "skip_once"):
         raise ValueError(f"no such policy: {policy}")
+    if (policy == "skip_once") != (once is not None):
+        raise ValueError("skip_once needs to be told which rows, other policies do not")
     judged = df.withColumn("_problems", problems(df, table))
     bad = judged.where(F.size("_problems") > 0)
     cast = [F.col(c.name).try_cast(spark_type(c.type)).alias(c.name) for c in table.columns if c.name in df.columns] + [F.col(e) for e in extra]
-    if policy == "exception":
+    if policy != "skip":
+        if once is not None:
+            judged = judged.where(~(F.coalesce(once, F.lit(False)) & (F.size("_problems") > 0)))
         stop = F.when(F.size("_problems") > 0, F.raise_error(F.concat(F.lit("dirty row: "), F.array_join("_problems", "; "))).cast("boolean")).otherwise(F.lit(True))
         return judged.where(stop).select(cast), bad
     return judged.where(F.size("_problems") == 0).select(cast), bad

@@ -11,8 +11,9 @@ from cairn.operators import changelog, mutate
 from cairn.plans.registry import query, write_in_order
 from cairn.session import table, work_dir
 from cairn.sources import changelog_source
-from cairn.sources.keyed_table import KeyedTable
+from cairn.sources.keyed_table import KeyedTable, overwrite_partition
 from cairn.streaming import sinks
+from cairn.streaming.lookups import lookup_stream, to_folder
 from cairn.streaming.partitions import PartitionSubscription, heartbeats
 
 _BASE = "base AS (SELECT c_custkey AS k, c_name AS name, c_acctbal AS v, c_mktsegment AS seg FROM customer)"
@@ -287,3 +288,30 @@ def stream_dynamic_partitions(spark, d):
     kept = followed.rows(log).groupBy(F.col("_partition").cast("string").alias("partition")).agg(F.count("*").alias("n"), F.sum("_lsn").alias("ids"))
     told = followed.children().groupBy("partition").agg(F.max(F.col("event") == "close").alias("closed"))
     return told.join(kept, "partition", "left").select("partition", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("ids", F.lit(0)).alias("ids"), "closed")
+
+
+@query("""WITH dim AS (SELECT c_custkey AS uid, c_custkey AS uid_int FROM customer),
+new AS (SELECT DISTINCT o_orderkey AS uid FROM orders WHERE o_orderkey NOT IN (SELECT uid FROM dim)),
+grown AS (SELECT uid, uid_int FROM dim UNION ALL
+  SELECT uid, (SELECT max(uid_int) FROM dim) + row_number() OVER (ORDER BY uid) FROM new)
+SELECT o_orderkey, uid_int FROM orders JOIN grown ON o_orderkey = uid""")
+def stream_lookup_insert(spark, d):
+    """A stream in three micro-batches looked up in a keyed table, to which the keys that it lacks are added on the way."""
+    folder = work_dir(spark, "lookup")
+    o = table(spark, d, "orders").select("o_orderkey")
+    write_in_order(o, F.col("o_orderkey"), 3, f"{folder}/orders")
+    dim = KeyedTable(spark, f"{folder}/dim", ["uid"], 8)
+    dim.create(table(spark, d, "customer").select(F.col("c_custkey").alias("uid"), F.col("c_custkey").alias("uid_int")))
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/orders")
+    lookup_stream(stream, dim, {"o_orderkey": "uid"}, to_folder(f"{folder}/out"), f"{folder}/checkpoint", serial="uid_int").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("o_orderkey", "uid_int")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN -1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0""")
+def overwrite_one_partition(spark, d):
+    """One partition of a stored table replaced, the others left as they are."""
+    path = work_dir(spark, "partitions")
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    o.write.partitionBy("o_orderstatus").parquet(path)
+    overwrite_partition(o.where("o_orderstatus = 'F' AND o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(-1.0)), path, "o_orderstatus")
+    return spark.read.schema(o.schema).parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")

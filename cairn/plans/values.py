@@ -157,6 +157,23 @@ def kafka_json_decode(spark, d):
     return messages.decode(records, T.StructType([T.StructField("k", T.LongType())]), meta={"offset": "event_id"}).where("NOT _bad").select("event_id", "k")
 
 
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE ts >= TIMESTAMP '2024-01-10'""")
+def kafka_start_time(spark, d):
+    """Records of a topic from a start time on."""
+    from pyspark.sql import types as T
+
+    e = table(spark, d, "events")
+    records = e.select(F.col("event_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.lit("events").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    start = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    return messages.decode(records, T.StructType([T.StructField("k", T.LongType())]), meta={"offset": "event_id"}, start=start).where("NOT _bad").select("event_id", "k")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS dashed, strftime(o_orderdate, '%Y%m%d') AS compact FROM orders")
+def date_suffixes(spark, d):
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, d, "orders").select("o_orderkey", partitioning.date_suffix(day).alias("dashed"), partitioning.date_suffix(day, compact=True).alias("compact"))
+
+
 @query("SELECT event_type AS target, count(*) AS n, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k FROM events WHERE event_type IS NOT NULL GROUP BY event_type")
 def multi_table_route(spark, d):
     """A stream whose rows go to the keyed table of their type, read back."""

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions.identifiers import quote
 from cairn.schema import TableDef
 from cairn.session import remove_dir
 
+_REPLACED = "cairn.replaced"
+
 
 def namespaces(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
@@ -24,26 +29,36 @@ def create_table(spark: SparkSession, table: TableDef, using: str = "parquet") -
     spark.sql(table.ddl(using))
 
 
-def overwrite_table(df: DataFrame, name: str) -> None:
-    """Write the rows to a folder of their own, then let the table point to it: readers see the old rows or the new ones.
+def overwrite_table(df: DataFrame, name: str, grace: float = 3600) -> None:
+    """Write the rows to a folder of their own, then let the table point to it: readers see the old rows or the new ones, and
+    those that have planned before go on with the old ones.
 
-    Only where the columns change is the table made anew.
+    A folder is removed by the first overwrite that comes ``grace`` seconds after it was replaced; until then the table's
+    properties name it. New columns at the end are added to the table first; only where the columns change otherwise is the
+    table made anew, and for a moment there is none.
     """
     spark = df.sparkSession
     folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name.rpartition('.')[2]}__{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    create = f"CREATE TABLE {name} USING parquet LOCATION '{folder}'"
     if not spark.catalog.tableExists(name):
-        spark.sql(create)
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
         return
     old = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-    if [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+    told = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    replaced = [*json.loads(told.get(_REPLACED, "[]")), [old, time.time()]]
+    kept, now = [r for r in replaced if r[1] > time.time() - grace], {r[0] for r in replaced if r[1] <= time.time() - grace}
+    known, wanted = ([(f.name, f.dataType.simpleString()) for f in x] for x in (spark.table(name).schema, df.schema))
+    if wanted[: len(known)] == known:
+        if new := wanted[len(known) :]:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quote(c)} {kind}' for c, kind in new)})")
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
     else:
         spark.sql(f"DROP TABLE {name}")
-        spark.sql(create)
-    remove_dir(spark, old)
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_REPLACED}' = '{json.dumps(kept)}')")
+    spark.catalog.refreshTable(name)
+    for gone in now:
+        remove_dir(spark, gone)
 
 
 def partition_map(spark: SparkSession, name: str) -> DataFrame:
@@ -75,10 +90,10 @@ def import_database(spark: SparkSession, path: str, register: bool = True) -> di
                 raise ValueError(f"table {r['name']} does not have {r['n_rows']} rows")
             found[r["name"]] = df
             if register:
-                df.createOrReplaceTempView(r["name"])
+                df.createOrReplaceTempView(quote(r["name"]))
     for r in manifest:
         if r["kind"] == "view" and register:
-            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {r['name']} AS {r['text']}")
+            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {quote(r['name'])} AS {r['text']}")
     return found
 
 
