@@ -219,6 +219,18 @@ def _put_extremes(base: DataFrame, changes: DataFrame, key: Sequence[str], colum
     return both.withColumn("_start", start).withColumn("_end", end).select(*keys, *[F.col("_end")[v].alias(v) for v in values]).select(*base.columns)
 
 
+def checked_log(changes: DataFrame, key: Sequence[str], column: str, operator: str, value: str | None = None, partition: str | None = None) -> DataFrame:
+    """The changes of a conditional write, of which any that cannot be made ends the job: a null in the key or in the
+    partition column, and a delete whose own value is compared and is null."""
+    stop = lambda text: F.raise_error(F.lit(text)).cast("boolean")
+    fine = F.lit(True)
+    for k in dict.fromkeys([*key, *([partition] if partition else [])]):
+        fine = F.when(F.col(k).isNull(), stop(f"{k} is null in a conditional write")).otherwise(fine)
+    if "_op" in changes.columns and value is None and operator not in ("is_null", "is_not_null"):
+        fine = F.when((F.col("_op") == "delete") & F.col(column).isNull(), stop(f"{column} is null in a conditional delete")).otherwise(fine)
+    return changes.where(fine)
+
+
 def check_and_put(
     base: DataFrame, changes: DataFrame, key: Sequence[str], column: str, operator: str, value: str | None = None, null_as: str | None = None,
 ) -> DataFrame:

@@ -236,6 +236,9 @@ class KeyedTable:
         self._rewrite(changes, lambda base: mutate.apply_mutations(base, changes, self.key, **how), extra, once)
 
     def check_and_put(self, changes: DataFrame, column: str, operator: str, value: str | None = None, null_as: str | None = None, once: tuple[str, int] | None = None) -> None:
+        """``mutate.check_and_put``; a change with a null in the key, or a delete that compares a null of its own, is an error."""
+        if value is None and operator in mutate.OPERATORS and column in changes.columns:
+            changes = mutate.checked_log(changes, self.key, column, operator, value)
         self._rewrite(changes, lambda base: mutate.check_and_put(base, changes, self.key, column, operator, value, null_as), once=once)
 
     def expression_upsert(self, changes: DataFrame, set_: dict[str, str] | None = None, where: str | None = None, once: tuple[str, int] | None = None) -> None:

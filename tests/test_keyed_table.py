@@ -168,3 +168,18 @@ def test_an_update_that_changes_the_key(spark, tmp_path):
     step(3, [(0, 3, cl.BEFORE_UPDATE, 2, "v1")])
     held.release(log_of(spark, []))
     assert {r["id"] for r in table.read().collect()} == {9}
+
+
+def test_conditional_writes_that_cannot_be_made(spark, table):
+    log = lambda rows: spark.createDataFrame(rows, "id long, v string, _seq long, _op string")
+    for bad, told in (((None, "x", 1, "put"), "id is null"), ((1, None, 1, "delete"), "v is null")):
+        with pytest.raises(Exception, match=told):
+            table.check_and_put(log([(2, "z", 1, "put"), bad]), "v", "greater")
+    with pytest.raises(ValueError, match="no such operator"):
+        table.check_and_put(log([(1, "x", 1, "put")]), "v", "like")
+    with pytest.raises(ValueError, match="not set"):
+        table.check_and_put(spark.createDataFrame([(1, 1)], "id long, _seq long"), "v", "greater")
+    assert table.version().number == 0
+    table.check_and_put(log([(1, None, 1, "delete"), (2, None, 1, "put"), (3, "zz", 1, "put")]), "v", "is_not_null")
+    assert {r["id"]: r["v"] for r in table.get(spark.createDataFrame([(1,), (2,), (3,)], "id long")).collect()} == {1: None, 2: None, 3: "zz"} and table.read().count() == 99
+    assert mutate.checked_log(log([(1, "x", 1, "put")]).withColumn("p", F.lit("a")), ["id"], "v", "less", partition="p").count() == 1
