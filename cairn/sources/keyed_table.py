@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +46,8 @@ FEW_KEYS = 10
 
 @dataclass(frozen=True)
 class Version:
-    """What the table is: ``at`` has for each bucket the place of its folder in ``folders``, or -1 where it has no rows."""
+    """What the table is: ``at`` has for each bucket the place of its folder in ``folders``, or -1 where it has no rows;
+    ``held`` is the number of buckets that were written to each folder, some of which may have been replaced since."""
 
     number: int
     start: int
@@ -52,6 +55,7 @@ class Version:
     key: list[str]
     schema: dict
     folders: list[str] = field(default_factory=list)
+    held: list[int] = field(default_factory=list)
     at: list[int] = field(default_factory=list)
     rows: list[int] = field(default_factory=list)
     applied: dict[str, int] = field(default_factory=dict)
@@ -69,13 +73,21 @@ class Version:
 
     def with_written(self, folder: str, counts: dict[int, int], touched: Sequence[int], buckets: int) -> Version:
         """The next version: the touched buckets come from ``folder``."""
-        names = [*self.folders, folder]
+        names, held = [*self.folders, folder], [*self.held, sum(n > 0 for n in counts.values())]
         at = [*self.at, *[-1] * (buckets - self.buckets)]
         rows = [*self.rows, *[0] * (buckets - self.buckets)]
         for b in touched:
             at[b], rows[b] = len(names) - 1 if counts.get(b) else -1, counts.get(b, 0)
         used = sorted({a for a in at if a >= 0})
-        return replace(self, number=self.number + 1, folders=[names[a] for a in used], at=[used.index(a) if a >= 0 else -1 for a in at] if len(used) < len(names) else at, rows=rows)
+        place = {a: k for k, a in enumerate(used)}
+        return replace(self, number=self.number + 1, folders=[names[a] for a in used], held=[held[a] for a in used], at=[place[a] if a >= 0 else -1 for a in at], rows=rows)
+
+    def places(self, buckets: Sequence[int] | None) -> tuple[list[str], list[str]]:
+        """What to read for some buckets, or for all: the largest folder of which every bucket is wanted, and the other buckets one by one."""
+        wanted = [b for b in (range(self.buckets) if buckets is None else buckets) if self.at[b] >= 0]
+        count = Counter(self.at[b] for b in wanted)
+        whole = max((a for a, n in count.items() if n == self.held[a]), key=lambda a: count[a], default=-1)
+        return [self.folders[whole]] if whole >= 0 else [], [self.folder(b) for b in wanted if self.at[b] != whole]
 
 
 class KeyedTable:
@@ -150,9 +162,9 @@ class KeyedTable:
 
     def _stored(self, version: Version, buckets: Sequence[int] | None = None) -> DataFrame:
         """The rows of some buckets, or of all; only their folders are listed."""
-        wanted = range(version.buckets) if buckets is None else buckets
-        paths = [f"{self.path}/{folder}" for b in wanted if (folder := version.folder(b))]
-        return self.spark.read.schema(version.struct()).parquet(*paths) if paths else self.spark.createDataFrame([], version.struct())
+        schema = version.struct()
+        found = [self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for p in paths]).select(*[F.col(f"`{n}`") for n in schema.names]) for paths in version.places(buckets) if paths]
+        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], schema)
 
     def _write(self, rows: DataFrame, version: Version, touched: Sequence[int], buckets: int) -> Version | None:
         """Write the touched buckets to a fresh folder and publish the version that refers to it; None if another writer was first."""

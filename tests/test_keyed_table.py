@@ -183,3 +183,13 @@ def test_conditional_writes_that_cannot_be_made(spark, table):
     table.check_and_put(log([(1, None, 1, "delete"), (2, None, 1, "put"), (3, "zz", 1, "put")]), "v", "is_not_null")
     assert {r["id"]: r["v"] for r in table.get(spark.createDataFrame([(1,), (2,), (3,)], "id long")).collect()} == {1: None, 2: None, 3: "zz"} and table.read().count() == 99
     assert mutate.checked_log(log([(1, "x", 1, "put")]).withColumn("p", F.lit("a")), ["id"], "v", "less", partition="p").count() == 1
+
+
+def test_whole_folders_are_read_by_one_path(spark, table):
+    version = table.version()
+    assert version.places(None) == (version.folders, []) and len(version.places([0, 3])[1]) == 2
+    table.merge(puts(spark, [1, 2], "b"))
+    version = table.version()
+    whole, single = version.places(None)
+    assert whole == [version.folders[1]] and len(single) == 8 - version.held[1] and version.held[0] == 8
+    assert rows(table.read()) == sorted(((i, f"{'b' if i in (1, 2) else 'a'}{i}") for i in range(100)), key=str) and table.read().columns == ["id", "v"]
