@@ -12,6 +12,7 @@ from cairn.schema import TableDef
 from cairn.sources import changelog_source, csvio
 from cairn.sources.keyed_table import KeyedTable
 from cairn.streaming import sinks
+from cairn.streaming.partitions import PartitionSubscription
 
 
 class Engine:
@@ -59,6 +60,13 @@ class Engine:
     def check_and_put(self, name: str, changes: DataFrame, column: str, operator: str, value: str | None = None, null_as: str | None = None) -> None:
         self.keyed(name).check_and_put(changes, column, operator, value, null_as)
 
+    def expression_upsert(self, name: str, changes: DataFrame, set_: dict[str, str] | None = None, where: str | None = None) -> None:
+        self.keyed(name).expression_upsert(changes, set_, where)
+
+    def append_changes(self, path: str, log: DataFrame) -> None:
+        """Append to a stored change log."""
+        changelog_source.write_changelog(log, path)
+
     def export_csv(self, name: str, path: str, **how) -> None:
         csvio.export_csv(self.read(name), path, **how)
 
@@ -74,3 +82,12 @@ class Engine:
     def follow(self, name: str, stream: DataFrame, checkpoint: str, **how):
         """Merge a change stream into a table."""
         return sinks.upsert(stream, self.keyed(name), checkpoint, **how)
+
+    def follow_log(self, name: str, path: str, checkpoint: str, offsets: dict[int, int] | None = None, available_now: bool = True, **how):
+        """Merge a stored change log into a table; columns that the log gains, or that become wider there, become the table's."""
+        step = sinks.merging(self.keyed(name), checkpoint, evolve=True, **how)
+        return changelog_source.follow(self.spark, path, step, checkpoint, offsets, available_now)
+
+    def partitions(self, name: str, unit: str, shards: Sequence[int], lateness_seconds: int = 60) -> PartitionSubscription:
+        """Follow the time partitions of a table's change stream; see ``PartitionSubscription.start``."""
+        return PartitionSubscription(self.spark, f"{self.folder}/{name}.partitions", unit, shards, lateness_seconds)

@@ -45,6 +45,26 @@ def spark_type(name: str) -> T.DataType:
     return SCALARS[base]
 
 
+#: The warehouse type that a column gets which a table gains from its data.
+_NAMES = {
+    "smallint": "smallint", "int": "int", "bigint": "bigint", "float": "float4", "double": "float8", "boolean": "bool", "string": "text",
+    "binary": "bytea", "date": "date", "timestamp": "timestamptz", "timestamp_ntz": "timestamp",
+}
+
+
+def type_name(kind: T.DataType) -> str:
+    """The warehouse type name of a Spark type; the inverse of ``spark_type`` for the types that columns have."""
+    if isinstance(kind, T.ArrayType):
+        name = ({"int": "int4", "bigint": "int8"}.get(kind.elementType.simpleString()) or type_name(kind.elementType)) + "[]"
+        spark_type(name)  # an error where there are no arrays of it
+        return name
+    if isinstance(kind, T.DecimalType):
+        return f"numeric({kind.precision},{kind.scale})"
+    if kind.simpleString() not in _NAMES:
+        raise ValueError(f"type {kind.simpleString()} is not supported")
+    return _NAMES[kind.simpleString()]
+
+
 @dataclass
 class ColumnDef:
     name: str

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from cairn import store
 from cairn.operators import mutate
-from cairn.schema import WIDENING, TableDef
+from cairn.schema import WIDENING, ColumnDef, TableDef, type_name
 
 #: Buckets of a small table, and rows of a bucket of a large one.
 LEAST_BUCKETS, BUCKET_ROWS = 64, 2_000_000
@@ -227,7 +227,19 @@ class KeyedTable:
                 raise ValueError(f"columns of another type: {[f.name]}")
         if not new and not wide:
             return version
-        return replace(version, schema=json.loads(T.StructType([*[T.StructField(f.name, wide.get(f.name, f.dataType)) for f in known], *new]).json()))
+        schema = T.StructType([*[T.StructField(f.name, wide.get(f.name, f.dataType)) for f in known], *new])
+        return replace(version, schema=json.loads(schema.json()), definition=self._redefined(version, wide, new))
+
+    @staticmethod
+    def _redefined(version: Version, wide: dict[str, T.DataType], new: Sequence[T.StructField]) -> str | None:
+        """The definition with the columns that are added or made wider."""
+        if version.definition is None:
+            return None
+        told = TableDef.from_json(version.definition)
+        for c in told.columns:
+            c.type = type_name(wide[c.name]) if c.name in wide else c.type
+        told.columns += [ColumnDef(f.name, type_name(f.dataType)) for f in new]
+        return told.to_json()
 
     def add_columns(self, columns: Sequence[T.StructField]) -> None:
         """Add columns that the table lacks, or make columns wider; a column of the same name and another type is an error."""

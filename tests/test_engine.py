@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cairn.engine import Engine
 from cairn.operators import metrics
-from cairn.schema import ColumnDef, TableDef
+from cairn.schema import ColumnDef, TableDef, spark_type, type_name
 from cairn.sources import loader
 from cairn.sources.changelog_source import write_changelog
 
@@ -65,3 +65,24 @@ def test_metrics(spark):
     seen, watch = metrics.observed(df)
     seen.write.format("noop").mode("overwrite").save()
     assert watch.get == {"count": 1000}
+
+
+def test_a_log_that_gains_columns(spark, engine, tmp_path):
+    path = str(tmp_path / "log")
+    base = "_shard int, _lsn long, _event_type int, _ts_us long, id long, name string"
+    engine.append_changes(path, spark.createDataFrame([(0, 1, 5, 1, 1, "a"), (0, 2, 5, 1, 2, "b")], base))
+    engine.follow_log("t", path, str(tmp_path / "cp"), ignore_delete=False).awaitTermination()
+    engine.append_changes(path, spark.createDataFrame([(0, 3, 3, 2, 1, "a", None), (0, 4, 7, 2, 1, "c", [1.5])], base + ", marks array<double>"))
+    engine.follow_log("t", path, str(tmp_path / "cp"), ignore_delete=False).awaitTermination()
+    assert [tuple(r) for r in engine.read("t").select("id", "name", "marks").orderBy("id").collect()] == [(1, "c", [1.5]), (2, "b", None)]
+    assert [(c.name, c.type) for c in engine.table("t").columns][-1] == ("marks", "float8[]")
+    engine.expression_upsert("t", spark.createDataFrame([(2, 1, "+")], "id long, _seq long, name string"), {"name": "old.name || excluded.name"})
+    assert engine.get("t", spark.createDataFrame([(2,)], "id long"), ["name"]).first()["name"] == "b+"
+    assert engine.partitions("t", "DAY", range(2)).children().count() == 0
+
+
+def test_type_names_are_the_inverse_of_types():
+    for name in ("smallint", "int", "bigint", "float4", "float8", "bool", "text", "bytea", "date", "timestamptz", "timestamp", "numeric(12,3)", "int4[]", "int8[]", "text[]", "float8[]"):
+        assert type_name(spark_type(name)) == name
+    with pytest.raises(ValueError):
+        type_name(spark_type("int4[]").__class__(spark_type("int4[]")))
