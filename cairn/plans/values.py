@@ -1,5 +1,6 @@
 """Queries on value conversion, sharding, partitioning and import or export."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -58,6 +59,18 @@ def _suffixes(spark, d, unit):
     return table(spark, d, "orders").select("o_orderkey", partitioning.suffix(F.col("o_orderdate"), unit).alias("part"))
 
 
+@query("SELECT o_orderpriority AS value, 'orders_' || o_orderpriority AS child, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority")
+def partition_children(spark, d):
+    """The children of a table of the catalog that is partitioned by a list, and the rows that lie in each one's folder."""
+    name = f"children_{uuid.uuid4().hex}"
+    o = table(spark, d, "orders").where("o_orderpriority IS NOT NULL").select("o_orderkey", "o_orderpriority")
+    o.write.partitionBy("o_orderpriority").option("path", work_dir(spark, "children")).saveAsTable(name)
+    found = catalog.children(spark, name)
+    counts = [spark.read.schema("o_orderkey long").parquet(r["location"]).agg(F.lit(r["value"]).alias("value"), F.count("*").alias("n")) for r in found.collect()]  # a row a partition
+    spark.sql(f"DROP TABLE {name}")
+    return found.join(reduce(DataFrame.unionByName, counts), "value").select("value", F.replace("child", F.lit(name), F.lit("orders")).alias("child"), "n")
+
+
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS part FROM orders")
 def partition_suffix_day(spark, d):
     return _suffixes(spark, d, "DAY")

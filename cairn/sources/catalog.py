@@ -6,6 +6,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,21 @@ def partition_map(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}")
 
 
+def children(spark: SparkSession, name: str) -> DataFrame:
+    """(value, child, location): the list partitions of a table, a row each, with the names that children have."""
+    found = []
+    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        if "/" in r[0]:
+            raise ValueError(f"{name} is partitioned by more than one column")
+        column, _, escaped = r[0].partition("=")
+        value = None if escaped == "__HIVE_DEFAULT_PARTITION__" else unquote(escaped)
+        spec = f"{quote(column)} = " + ("null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'")
+        # the partition's own place is told before the table's
+        place = next((row[1] for row in spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({spec})").collect() if row[0] == "Location"), None)
+        found.append((value, f"{name.rpartition('.')[2]}_{value}", place))
+    return spark.createDataFrame(sorted(found, key=str), "value string, child string, location string")
+
+
 def export_database(spark: SparkSession, frames: dict[str, DataFrame], path: str, views: dict[str, str] | None = None, definitions: Sequence[TableDef] = ()) -> DataFrame:
     """Write tables as Parquet with a manifest of names, schemas, row counts, definitions and view texts."""
     known, rows = {d.name: d for d in definitions}, []

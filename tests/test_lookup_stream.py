@@ -76,3 +76,13 @@ def test_overwrite_leaves_readers_alone(spark):
     catalog.overwrite_table(spark.createDataFrame([("a",)], "id string"), "kept_t")
     assert rows(spark.table("kept_t")) == [("a",)]
     spark.sql("DROP TABLE kept_t")
+
+
+def test_children_of_a_partitioned_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS parts_t")
+    rows_ = [(1, "a b"), (2, "it's"), (3, "x=1/2%"), (4, None), (5, "a b")]
+    spark.createDataFrame(rows_, "id int, p string").write.partitionBy("p").option("path", str(tmp_path / "p")).saveAsTable("parts_t")
+    found = {r["value"]: r for r in catalog.children(spark, "parts_t").collect()}
+    assert set(found) == {"a b", "it's", "x=1/2%", None} and found["a b"]["child"] == "parts_t_a b"
+    assert spark.read.schema("id int").parquet(found["a b"]["location"]).count() == 2
+    spark.sql("DROP TABLE parts_t")
