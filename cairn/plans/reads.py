@@ -80,13 +80,13 @@ def lookup_pk(spark, d):
 
 @query("""SELECT n_nationkey, n_name, s_suppkey FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey""")
 def lookup_one_to_many(spark, d):
-    return lookup.lookup(table(spark, d, "nation").select("n_nationkey", "n_name"), table(spark, d, "supplier"), {"n_nationkey": "s_nationkey"}, ["s_suppkey"])
+    return lookup.lookup_many(table(spark, d, "nation").select("n_nationkey", "n_name"), table(spark, d, "supplier"), {"n_nationkey": "s_nationkey"}, ["s_suppkey"])
 
 
 @query("""SELECT s_suppkey, s_nationkey, c_custkey FROM supplier JOIN customer ON s_nationkey = c_nationkey AND c_mktsegment = 'BUILDING'""")
 def lookup_partitioned(spark, d):
     facts = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", F.lit("BUILDING").alias("segment"))
-    return lookup.lookup(facts, table(spark, d, "customer"), {"s_nationkey": "c_nationkey", "segment": "c_mktsegment"}, ["c_custkey"], how="inner").drop("segment")
+    return lookup.lookup_many(facts, table(spark, d, "customer"), {"s_nationkey": "c_nationkey", "segment": "c_mktsegment"}, ["c_custkey"], how="inner").drop("segment")
 
 
 @query("""WITH dim AS (SELECT c_custkey AS uid, c_custkey AS uid_int FROM customer),

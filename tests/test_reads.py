@@ -59,3 +59,16 @@ def test_lookup_one_to_many(spark):
     got = lookup.lookup(facts, dim, {"k": "key", "d": "part"}, ["v"])
     assert sorted(((r["k"], r["v"]) for r in got.collect()), key=str) == sorted([(1, "v1"), (1, "v2"), (2, None), (None, None)], key=str)
     assert got.columns == ["k", "d", "v"] and got.where(F.col("v").isNotNull()).count() == 2
+
+
+def test_lookups_with_many_pairs_are_spread_by_pairs(spark, monkeypatch):
+    facts = spark.createDataFrame([(k, i % 5, i) for i in range(300) for k in (1, 2, None)] + [(9, 0, 1)], "k int, d int, i int")
+    dim = spark.createDataFrame([(k, i % 5, i) for i in range(200) for k in (1, 3, None)] + [(2, 4, 7)], "key long, part int, v int")
+    monkeypatch.setattr(lookup, "SIDE_ROWS", 10)
+    monkeypatch.setattr(lookup, "TASK_PAIRS", 500)
+    for how in ("left", "inner"):
+        want = lookup.lookup(facts, dim, {"k": "key", "d": "part"}, ["v"], how)
+        got = lookup.lookup_many(facts, dim, {"k": "key", "d": "part"}, ["v"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        pairs = [n for n in got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+        assert len(pairs) > 8 and max(pairs) < sum(pairs) / 4
