@@ -56,3 +56,26 @@ def test_exact_search_block_after_block(spark):
     many = retrieval.nearest_for(asked, rows, 3, block=20)
     assert found(many) == found(retrieval.nearest_for(asked, rows, 3)) and many.columns == ["query_id", "rank", "vec_id", "distance"]
     assert many.select(F.max("rank")).first()[0] == 3
+
+
+def test_batches_do_not_grow_with_lists_and_probes(spark, tmp_path, monkeypatch):
+    rows = clustered(spark, 400)
+    index = VectorIndex.build(rows, str(tmp_path / "i"), lists=40)
+    asked = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
+
+    class Asked:
+        dtypes = asked.dtypes
+        select = lambda self, *_: self
+        mapInArrow = lambda self, work, _: work
+
+    monkeypatch.setattr(vector_index, "PIECE_ROWS", 64)
+    batches = list(index._nearest_lists(Asked(), 40, "l2", "query_id")(iter(asked.toArrow().to_batches())))
+    assert sum(b.num_rows for b in batches) == 400 * 40 and max(b.num_rows for b in batches) <= 64
+    bins, of = vector_index._bins({c: 10 for c in range(40)})
+    once = index._nearest_lists(asked, 40, "l2", "query_id", bins=bins).collect()
+    assert of == [400] and len(once) == 400 and all(r["bin"] == 0 and r["lists"] == list(range(40)) for r in once)
+    monkeypatch.setattr(vector_index, "PART_ROWS", 30)
+    bins, of = vector_index._bins({0: 10, 1: 50, 2: 20, 3: 10, 4: 1})
+    assert bins == {0: 0, 1: 1, 2: 2, 3: 2, 4: 3} and of == [10, 50, 30, 1]
+    some = index._nearest_lists(asked, 3, "l2", "query_id", bins=bins).collect()
+    assert all(r["lists"] and all(bins[c] == r["bin"] for c in r["lists"]) for r in some)
