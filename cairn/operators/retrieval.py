@@ -104,7 +104,7 @@ def _nearest_in(asked: DataFrame, id_: str, k: int, metric: str):
     def work(batches):
         names, queries = shared.value
         best: dict[int, tuple] = {}
-        for batch in batches:
+        for batch in (whole.slice(begin, 2048) for whole in batches for begin in range(0, whole.num_rows, 2048)):
             ids, x = batch.column(0).to_numpy(zero_copy_only=False), np.array(batch.column(1).to_pylist(), np.float64)
             for at in range(0, len(names) if len(ids) else 0, 128):
                 q = queries[at : at + 128]
