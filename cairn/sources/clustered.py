@@ -1,7 +1,9 @@
 """A table laid out by its clustering key: sorted ranges that tell their bounds.
 
-Rows are dealt by ranges of the key, sorted within, and each range is written to a folder of
-its own; beside them lie the bounds of every key column and the number of rows of each range.
+Rows are dealt to tasks of about ``TASK_ROWS`` by ranges of the key and sorted within; a task cuts
+its rows into the table's ranges, so there are no more tasks for small ranges than for large ones.
+Each range is written to a folder of its own; beside them lie the bounds of every key column and
+the number of rows of each range.
 A scan reads the ranges that its conditions may meet, and within them Parquet's statistics
 skip row groups. The first rows in key order come from the first ranges: of conditions on the
 key alone no more ranges are read than hold them.
@@ -23,6 +25,10 @@ from cairn.operators import scan
 
 #: Rows of a range, and bytes of a row group within it.
 RANGE_ROWS, GROUP_BYTES = 1_000_000, 8 << 20
+#: Rows and ranges, files each, that a task writes: about so many at most.
+TASK_ROWS, TASK_RANGES = 1_000_000, 128
+#: Numbers of ranges that are set aside for a task, which may get more rows than others.
+_STRIDE = 1 << 32
 
 
 class ClusteredTable:
@@ -35,8 +41,13 @@ class ClusteredTable:
         spark = rows.sparkSession
         names = [k.rsplit(":", 1)[0] if k.endswith((":asc", ":desc")) and k not in rows.columns else k for k in key]
         order = [F.col(f"`{n}`").asc_nulls_last() for n in names]
-        ranges = max(1, -(-rows.count() // range_rows))
-        dealt = rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).sortWithinPartitions(*order)
+        n = rows.count()
+        held = min(max(1, -(-n // range_rows)), max(1, TASK_ROWS // range_rows), TASK_RANGES)  # ranges of a task
+        tasks = max(1, -(-n // (held * range_rows)))
+        parts = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+        numbered = parts.withColumn("_row", F.monotonically_increasing_id())  # the task and the row's place in it
+        place = F.col("_row").bitwiseAND((1 << 33) - 1)
+        dealt = numbered.withColumn("_range", F.shiftright("_row", 33) * _STRIDE + F.floor(place / range_rows)).drop("_row").sortWithinPartitions("_range", *order)
         dealt.write.option("parquet.block.size", GROUP_BYTES).partitionBy("_range").parquet(f"{path}/rows")
         stored = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
         bounds = [f(f"`{n}`").alias(f"{w}_{i}") for i, n in enumerate(names) for w, f in (("least", F.min), ("most", F.max))]

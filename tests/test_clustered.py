@@ -53,3 +53,15 @@ def test_the_first_rows_stop_early(data, tmp_path):
 def test_empty_table(data, tmp_path):
     table = ClusteredTable.write(data.limit(0), str(tmp_path / "t"), ["k"])
     assert table.ranges() == [] and table.scan({"k": 1}).columns == ["k", "s", "v"] and table.scan(limit=3).count() == 0
+
+
+def test_small_ranges_do_not_ask_for_more_tasks(data, tmp_path, spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("clustered", "")
+    table = ClusteredTable.write(data, str(tmp_path / "t"), ["k", "v"], 14)
+    stages = {s for j in tracker.getJobIdsForGroup("clustered") for s in tracker.getJobInfo(j).stageIds}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    told = [tracker.getStageInfo(s) for s in stages]
+    assert max(i.numTasks for i in told if i) < 20
+    assert [n for _, n in table.ranges()] == [14] * 28 + [8]
+    assert table.read().count() == 400 and table.scan({"k": 7}).collect() == scan.scan(data, {"k": 7}, sort=["k", "v"]).collect()
