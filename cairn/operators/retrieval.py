@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from cairn.session import work_dir
 
+#: Words whose numbers of texts are broadcast, and words of a piece of a batch.
+KNOWN_WORDS, PIECE_WORDS = 1 << 16, 1 << 19
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -185,18 +188,79 @@ def pool(tokens: Column, mode: str = "mean") -> Column:
 
 
 def keywords(docs: DataFrame, id_: str, text: str, k: int = 5) -> DataFrame:
-    """The k words of each text with the highest TF-IDF, ties by word: (id, rank, word, weight)."""
+    """The k words of each text with the highest TF-IDF, ties by word: (id, rank, word, weight).
+
+    Rows with one id are one text. Words are counted where their text lies. The numbers of
+    texts of the most frequent words, ``KNOWN_WORDS`` at most, are broadcast; those of all others
+    are between one and the largest that was left out. A word whose highest possible weight is below the k
+    highest lowest ones of its text cannot be among its k, so only the others are shuffled,
+    to be weighed by the exact numbers.
+    """
     from pyspark.sql import Window
 
-    words = docs.select(id_, F.explode(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 1)).alias("word"))
-    tf = words.groupBy(id_, "word").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("word").agg(F.count("*").alias("df")).hint("rebalance")
+    listed = docs.select(id_, F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 1).alias("words"))
+    again = docs.groupBy(id_).agg(F.count("*").alias("n")).where("n > 1").select(F.col(id_).alias("_again"))
+    if not again.isEmpty():
+        same = F.col(id_).eqNullSafe(F.col("_again"))
+        several = listed.join(again, same, "left_semi").groupBy(id_).agg(F.flatten(F.collect_list("words")).alias("words"))
+        listed = listed.join(again, same, "left_anti").unionByName(several)
+    folder = work_dir(docs.sparkSession, "words")
+    listed.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df")).write.parquet(folder)
+    df = docs.sparkSession.read.schema("word string, df long").parquet(folder)
     n = docs.count()
-    weighted = tf.join(df, "word").withColumn("weight", F.col("tf") * (F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1))
+    able = _able_words(listed, df, id_, k, n)
+    weighted = able.join(df.hint("rebalance"), "word").withColumn("weight", F.col("tf") * (F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1))
     rank = F.row_number().over(Window.partitionBy(id_).orderBy(F.round("weight", 9).desc(), "word"))
     return weighted.withColumn("rank", rank).where(F.col("rank") <= k).select(id_, "rank", "word", "weight")
 
 
+def _able_words(listed: DataFrame, df: DataFrame, id_: str, k: int, n: int) -> DataFrame:
+    """(id, word, tf) of the words that may be among the k of their text."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    classes = df.groupBy("df").agg(F.count("*").alias("words")).orderBy(F.desc("df")).limit(KNOWN_WORDS + 1).collect()
+    most, room = 0, KNOWN_WORDS  # the largest number of texts of a word that is not broadcast, 0 if all are
+    for r in classes:
+        room -= r["words"]
+        if room < 0:
+            most = r["df"]
+            break
+    held = {r["word"]: r["df"] for r in df.where(F.col("df") > most).collect()}  # KNOWN_WORDS at most
+    shared = listed.sparkSession.sparkContext.broadcast((held, most or 1))
+
+    def able(part: pa.RecordBatch) -> pa.RecordBatch:
+        known, most = shared.value
+        words = part.column(1).flatten().dictionary_encode()
+        row = np.repeat(np.arange(part.num_rows), pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False))
+        kinds = max(1, len(words.dictionary))
+        pair, tf = np.unique(row * kinds + words.indices.to_numpy(), return_counts=True)
+        row, word = pair // kinds, pair % kinds
+        told = np.array([known.get(w, 0) for w in words.dictionary.to_pylist()], np.float64)[word] if len(pair) else np.zeros(0)
+        weight = lambda texts: tf * (np.log((n + 1) / (texts + 1)) + 1)
+        high, low = weight(np.where(told > 0, told, 1)), weight(np.where(told > 0, told, most))
+        order = np.lexsort((-low, row))
+        start = np.searchsorted(row, np.arange(part.num_rows))
+        size = np.searchsorted(row, np.arange(part.num_rows), "right") - start
+        least = np.full(part.num_rows, -np.inf)
+        full = np.flatnonzero(size >= k)
+        least[full] = low[order[start[full] + k - 1]]
+        kept = np.flatnonzero(high >= least[row] - 1e-6)
+        return pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[kept])), words.dictionary.take(pa.array(word[kept])), pa.array(tf[kept].astype(np.int64))], names=[id_, "word", "tf"])
+
+    def work(batches):
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            begin = 0
+            while begin < batch.num_rows:
+                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PIECE_WORDS, "right")))
+                yield able(batch.slice(begin, end - begin))
+                begin = end
+
+    return listed.mapInArrow(work, f"`{id_}` {dict(listed.dtypes)[id_]}, word string, tf long")
+
+
 def prompt(template: str, **parts: Column) -> Column:
     """A prompt with ``{name}`` places filled from columns."""
     import re

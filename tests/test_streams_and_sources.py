@@ -159,3 +159,27 @@ def test_retrieval(spark):
     assert pooled == {"mean": [2.0, 3.0], "max": [3.0, 4.0], "cls": [1.0, 4.0], "last": [3.0, 2.0], "weighted_mean": [7 / 3, 8 / 3]}
     words = spark.createDataFrame([(1, "cat cat the"), (2, "dog the the")], "id int, t string")
     assert {r["id"]: r["word"] for r in retrieval.keywords(words, "id", "t", 1).collect()} == {1: "cat", 2: "the"}
+
+
+def test_keywords_shuffle_only_words_that_may_be_among_them(spark, monkeypatch):
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(2)
+    rows = [(i % 70, " ".join(f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(rng.choice([0, 2, 30, 300])))) for i in range(80)] + [(None, "aa bb"), (None, "bb cc"), (99, None)]
+    texts: dict = {}
+    for i, t in rows:
+        texts.setdefault(i, []).extend(w for w in (t or "").split() if len(w) > 1)
+    df = Counter(w for ws in texts.values() for w in set(ws))
+    want = {}
+    for i, ws in texts.items():
+        weights = sorted((-round(c * (math.log((len(rows) + 1) / (df[w] + 1)) + 1), 9), w) for w, c in Counter(ws).items())
+        want |= {(i, r + 1): w for r, (_, w) in enumerate(weights[:5])}
+    docs = spark.createDataFrame(rows, "id long, t string")
+    for known in (0, 3, 40, 1000):
+        monkeypatch.setattr(retrieval, "KNOWN_WORDS", known)
+        assert {(r["id"], r["rank"]): r["word"] for r in retrieval.keywords(docs, "id", "t").collect()} == want
+    listed = spark.createDataFrame([(1, ["of"] * 2 + ["rare", "odd", "the"]), (2, None), (3, [])], "id long, words array<string>")
+    told = spark.createDataFrame([("of", 50), ("the", 90), ("rare", 2), ("odd", 1)], "word string, df long")
+    assert {r["word"] for r in retrieval._able_words(listed, told, "id", 2, 100).collect()} == {"rare", "odd"}
