@@ -87,3 +87,27 @@ def test_loser_tree_merges_and_knows_prefixes():
 
 def test_prefix_is_counted_from_the_known_part():
     assert x.common_prefix(b"abcx", b"abcy", 2) == 3 and x.common_prefix(b"abc", b"abcy", 3) == 3 and x.common_prefix(b"", b"a", 0) == 0
+
+
+def test_hot_grams_share_the_pass_over_the_texts(docs, monkeypatch, tmp_path):
+    passes, texts = [], x._texts
+    monkeypatch.setattr(x, "_texts", lambda d: passes.append(1) or texts(d))
+    assert x.repeated_spans(docs(random_rows(6, 40)), str(tmp_path), 40, 12, hot_places=3).count() > 0
+    assert (tmp_path / "windows").exists() and len(passes) == 1
+
+
+def test_filter_keeps_every_gram(spark):
+    rng = random.Random(7)
+    grams = [(rng.randrange(-(1 << 63), 1 << 63),) for _ in range(500)]
+    frame = spark.createDataFrame(grams, "gram long")
+    others = spark.createDataFrame([(rng.randrange(-(1 << 63), 1 << 63),) for _ in range(5000)], "gram long")
+    assert frame.where(x._may_have(frame, 500)).count() == 500 and others.where(x._may_have(frame, 500)).count() < 500
+
+
+def test_planted_passages_and_clean_documents(docs, prose):
+    """Passages of over 50 words and at least 400 bytes in two documents each go, and nothing of the others."""
+    passage = {k: prose(100 + k, 80) for k in range(5)}
+    assert all(len(p) >= 400 for p in passage.values())
+    rows = [(i, f"{prose(i, 60)} {passage[i // 2]} {prose(200 + i, 60)}") for i in range(10)] + [(i, prose(i, 150)) for i in range(50, 60)]
+    found = {r.doc_id: r.n_removed for r in x.remove_repeats(docs(rows), with_text=False).collect()}
+    assert all(found[i] >= len(passage[i // 2]) for i in range(10)) and not any(found[i] for i in range(50, 60))
