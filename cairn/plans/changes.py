@@ -181,15 +181,25 @@ def cdc_dynamic_partition(spark, d):
     return changelog.open_partitions(log, partitioning.start(day, "DAY"), partitioning.stop(day, "DAY"), 3600).select("event_id")
 
 
+def _in_files(log, key, path, batches):
+    """Write a log for a stream of files, a multiple of ``batches``, and tell how many a batch has.
+
+    Files of one write come in any order, so all events of a key lie in one of them.
+    """
+    each = -(-log.sparkSession.sparkContext.defaultParallelism // batches)
+    log.repartition(batches * each, *key).write.parquet(path)
+    return each
+
+
 @query(_REPLAYED)
 def stream_upsert_sink(spark, d):
     """A change stream merged into a keyed table, read back."""
     folder = work_dir(spark, "upsert")
-    _change_log(spark, d).coalesce(4).write.parquet(f"{folder}/log")
+    each = _in_files(_change_log(spark, d), ["o_orderkey"], f"{folder}/log", 4)
     target = KeyedTable(spark, f"{folder}/table", ["o_orderkey"], buckets=8)
     target.create(_snapshots(spark, d)[0])
     schema = spark.read.parquet(f"{folder}/log").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", each).parquet(f"{folder}/log")
     sinks.upsert(stream, target, f"{folder}/checkpoint", ignore_delete=False).awaitTermination()
     return target.read()
 

@@ -91,7 +91,11 @@ def merging(table: KeyedTable, checkpoint: str, ignore_delete: bool = True, hold
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         events = held.split(batch, batch_id) if hold and not ignore_delete else batch
-        table.merge(as_mutations(events, ignore_delete), once=_writer(batch, checkpoint, batch_id), **how)
+        changes = as_mutations(events, ignore_delete).persist()  # a merge reads them for their buckets, deletes and puts
+        try:
+            table.merge(changes, once=_writer(batch, checkpoint, batch_id), **how)
+        finally:
+            changes.unpersist()
 
     return merge
 
