@@ -111,3 +111,13 @@ def test_planted_passages_and_clean_documents(docs, prose):
     rows = [(i, f"{prose(i, 60)} {passage[i // 2]} {prose(200 + i, 60)}") for i in range(10)] + [(i, prose(i, 150)) for i in range(50, 60)]
     found = {r.doc_id: r.n_removed for r in x.remove_repeats(docs(rows), with_text=False).collect()}
     assert all(found[i] >= len(passage[i // 2]) for i in range(10)) and not any(found[i] for i in range(50, 60))
+
+
+def test_query_on_the_given_table(spark):
+    """At the contract's 400 bytes; n_bytes is the whole text's length, whatever was removed."""
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    found = x.QUERIES["op1_suffix_dedup"](spark, sf_dir)
+    assert found.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    wanted = [r[:5] for r in brute(rows, 400)]
+    assert any(r[2] for r in wanted) and sorted(tuple(r[:5]) for r in found.collect()) == sorted(wanted)
